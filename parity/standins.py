@@ -26,9 +26,13 @@ def _iso_day(t: str) -> str:
     return f"concat(year({t}), '-', {_two(f'month({t})')}, '-', {_two(f'day({t})')})"
 
 
-def _hundredths(n: str) -> str:
-    """Whole number of hundredths as decimal text."""
-    return f"concat(cast(floor({n} / 100) as bigint), '.', {_two(f'{n} % 100')})"
+def _quarters(n: str) -> str:
+    """Whole number of quarters as decimal text. Quarters add up exactly in any order."""
+    return f"concat(cast(floor({n} / 4) as bigint), '.', {_two(f'{n} % 4 * 25')})"
+
+
+def _steps(n: str, width: int) -> str:
+    return f"cast(floor({n} / {width}) as bigint)"
 
 
 SIGHTINGS = f"""
@@ -70,8 +74,8 @@ select
     when k % 100 = 8 then cast(null as {{text}})
     when k % 20 = 9 then {_iso_day('t')} else {_us_day('t')} end as date_posted,
   case when k % 19 = 0 then '' when k % 23 = 0 then 'n/a'
-    else {_hundredths('cast(floor((h - h % 4) / 2) as bigint)')} end as latitude,
-  case when k % 19 = 0 then '' else concat('-', {_hundredths('(h - h % 2)')}) end as longitude,
+    else {_quarters(_steps('h', 50))} end as latitude,
+  case when k % 19 = 0 then '' else concat('-', {_quarters(_steps('h', 25))}) end as longitude,
   k as sight_key
 from (
   select o_orderkey as k, o_orderdate as t, o_totalprice as price, c_custkey as customer,
@@ -84,17 +88,13 @@ from (
 COORDINATES = """
 select
   case when s_suppkey % 3 = 0 then 'USA' else concat('C', s_nationkey) end as country_code,
-  cast(g - g % 4 as double) / 200 as latitude, -cast(g - g % 2 as double) / 100 as longitude,
+  floor(h / 50) / 4.0e0 as latitude, -floor(h / 25) / 4.0e0 as longitude,
   concat('Land ', s_nationkey) as country,
   case when s_suppkey % 3 = 0 then 'TX' end as usa_state_code,
-  cast(g - g % 4 as double) / 200 as usa_state_latitude,
-  -cast(g - g % 2 as double) / 100 as usa_state_longitude,
+  floor(h / 50) / 4.0e0 as usa_state_latitude, -floor(h / 25) / 4.0e0 as usa_state_longitude,
   case when s_suppkey % 3 = 0 then concat('State ', s_suppkey % 7)
     when s_suppkey % 5 = 1 then ' ' end as usa_state
-from (
-  select s_suppkey, s_nationkey, h - h % 50 as g
-  from (select s_suppkey, s_nationkey, cast(floor(abs(s_acctbal)) as bigint) as h
-    from {supplier}) a) b
+from (select s_suppkey, s_nationkey, cast(floor(abs(s_acctbal)) as bigint) as h from {supplier}) s
 """
 
 CRASHES = f"""
@@ -159,9 +159,9 @@ select
     when event_type = 'signup' then 'Overcast' else 'Foggy' end as summary,
   case when event_id % 4 = 0 then 'rain' when event_id % 4 = 1 then 'null'
     when event_id % 4 = 2 then '' end as precip_type,
-  value / 2 - 30 as temperature_c,
-  value - 110 as apparent_temperature_c,
-  case when event_id % 3 = 0 then cast(event_id % 100 as double) / 100
+  floor(value) - 30.0e0 as temperature_c,
+  floor(value) - 110.0e0 as apparent_temperature_c,
+  case when event_id % 3 = 0 then cast(event_id % 5 as double) / 4
     when event_id % 3 = 1 then cast(event_id % 120 as double) end as humidity,
   case when event_id % 73 <> 0 then cast(event_id % 70 as double) end as wind_speed_km,
   cast(event_id % 400 as double) as wind_bearing_degrees,
@@ -199,7 +199,7 @@ select
     else p_type end as class,
   case when l_partkey % 79 = 0 then -1.0e0 else l_quantity / 2 end as duration,
   cast(l_orderkey % 45 - 2 as int) as days_left,
-  case when l_partkey % 61 = 0 then 0.0e0 else l_extendedprice / 50 end as price
+  case when l_partkey % 61 = 0 then 0.0e0 else floor(l_extendedprice / 50) * 1.0e0 end as price
 from {lineitem} join {orders} on l_orderkey = o_orderkey
   join {customer} on o_custkey = c_custkey join {nation} b on c_nationkey = b.n_nationkey
   join {supplier} on l_suppkey = s_suppkey join {nation} a on s_nationkey = a.n_nationkey

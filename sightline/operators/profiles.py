@@ -93,7 +93,7 @@ def grouped_median(
     )
     sizes = counts.groupBy(*keys).agg(F.count("*").alias("__values"))
     large = sizes.filter(F.col("__values") > values_per_group).drop("__values")
-    middle = F.percentile("__v", F.lit(0.5), "__n").alias(out)
+    middle = F.percentile("__v", F.lit(0.5), F.col("__n")).alias(out)
     if large.isEmpty():
         return counts.groupBy(*keys).agg(middle)
     split = null_safe_join(counts, large.withColumn("__large", F.lit(True)), keys, "left")
