@@ -31,6 +31,15 @@ def read_source(
     )
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan with fewer splits than cores, such as one small file, over the cores.
+
+    A scan with enough splits, which is any large table, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
