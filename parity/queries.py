@@ -65,7 +65,7 @@ def cleaned(spark, d):
 
 def enriched(spark, d):
     return E.location_enriched(
-        cleaned(spark, d), C.coordinate_lookup(raw(spark, d, "coordinates"))
+        durable(cleaned(spark, d)), C.coordinate_lookup(raw(spark, d, "coordinates"))
     )
 
 
@@ -90,7 +90,7 @@ def volumes(spark, d):
 
 
 def correlation(spark, d):
-    return E.proximity_correlation(enriched(spark, d), crashes(spark, d))
+    return E.proximity_correlation(durable(enriched(spark, d)), crashes(spark, d))
 
 
 def safety(spark, d):
@@ -336,7 +336,8 @@ def _(spark, d):
       where closest_crash_days is not null""",
 )
 def _(spark, d):
-    linked = E.proximity_correlation(enriched(spark, d), crashes(spark, d), max_days=7)
+    facts = durable(enriched(spark, d))
+    linked = E.proximity_correlation(facts, crashes(spark, d), max_days=7)
     return linked.filter(F.col("closest_crash_days").isNotNull()).select(
         "sighting_id", *[c for c in linked.columns if c.startswith("closest_")]
     )
@@ -355,9 +356,7 @@ query(
     "fatality_rate_percent",
 )
 def _(spark, d):
-    compact = E.weather_incident_analysis(crashes(spark, d), weather(spark, d), expand=False)
-    same = [c for c in compact.columns if c != "weather_rows"]
-    return compact.groupBy(*same).agg(F.sum("weather_rows").alias("weather_rows"))
+    return E.weather_incident_analysis(crashes(spark, d), weather(spark, d), expand=False)
 
 
 query(

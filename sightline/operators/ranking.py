@@ -11,7 +11,6 @@ from sightline.sources.tables import durable
 COPIES_PER_TASK = 1_000_000
 
 
-
 def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first in `order`. The rank limit is applied map-side before the
     shuffle, so a hot key sends one candidate per task."""

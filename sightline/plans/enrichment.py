@@ -54,6 +54,20 @@ def media_attention(fatalities: Column) -> Column:
     return X.ladder([(fatalities > n, label) for n, label in V.MEDIA_LABELS], V.MEDIA_NONE)
 
 
+# The greatest label is wanted as text, so labels are compared by their alphabetical place.
+MEDIA_BY_NAME = sorted([*[label for _, label in V.MEDIA_LABELS], V.MEDIA_NONE])
+
+
+def media_place(fatalities: Column) -> Column:
+    steps = [(fatalities > n, MEDIA_BY_NAME.index(label)) for n, label in V.MEDIA_LABELS]
+    return X.ladder(steps, MEDIA_BY_NAME.index(V.MEDIA_NONE))
+
+
+def media_name(place: Column) -> Column:
+    names = F.array(*[F.lit(n) for n in MEDIA_BY_NAME])
+    return F.when(place.isNotNull(), F.get(names, place)).otherwise(V.MEDIA_NONE)
+
+
 def aircraft_features(shape: Column, seconds: Column, comments: Column) -> Column:
     looks = F.lit(False)
     for shapes, low, high in V.AIRCRAFT_SHAPES:
@@ -93,7 +107,7 @@ def crash_days(crashes: DataFrame, alt_matches: dict[str, str] | None = None) ->
         .agg(
             F.count("*").alias("crashes"),
             F.count_if(same).alias("same_country"),
-            F.max(media_attention(dead)).alias("media"),
+            F.max(media_place(dead)).alias("media"),
             F.min_by(details, order).alias("near"),
             F.max(F.when(same, X.day_number(F.col("crash_date")))).alias("same_day"),
         )
@@ -183,7 +197,7 @@ def proximity_correlation(
                 "max_correlation_score"
             ),
             features.alias("has_aircraft_like_features"),
-            F.coalesce("media", F.lit(V.MEDIA_NONE)).alias("max_media_attention"),
+            media_name(F.col("media")).alias("max_media_attention"),
         )
         .withColumn("false_positive_likelihood", F.concat(suspicion, F.lit("_SUSPICION")))
     )
@@ -277,13 +291,18 @@ def weather_incident_analysis(
 ) -> DataFrame:
     """Crashes since 1950 with the weather of their day.
 
-    With `expand` there is one row per crash and observation. Without it, observations of a
-    day that look the same stay one row and `weather_rows` says how many they are, which is
-    all the summaries need and keeps a busy day from multiplying.
+    With `expand` there is one row per crash and observation. Without it, crashes that look
+    the same and observations of a day that look the same stay one row each, and
+    `weather_rows` says how many pairs a row stands for. That is all the summaries need, and
+    it keeps a busy day from multiplying rows by rows.
     """
     flags = list(V.HAZARD_POINTS)
     profiles = weather_profiles(weather, [*WEATHER_BLOCK, *flags], "weather_rows")
     kept = crashes.filter(F.col("crash_year") >= V.WEATHER_FIRST_YEAR).select(*CRASH_BLOCK)
+    if expand:
+        kept = kept.withColumn("__crashes", F.lit(1).cast("long"))
+    else:
+        kept = kept.groupBy(*CRASH_BLOCK).agg(F.count("*").alias("__crashes"))
     matched = day_join(kept, profiles, "crash_date", "observation_date").withColumns(
         {
             **{f: X.flag(F.col(f)) for f in flags},
@@ -300,7 +319,7 @@ def weather_incident_analysis(
         weather_attribution().alias("weather_attribution"),
         casualty_correlation().alias("weather_casualty_correlation"),
         F.col("observation_date").isNotNull().alias("has_weather_data"),
-        F.coalesce("weather_rows", F.lit(1)).alias("weather_rows"),
+        (F.coalesce("weather_rows", F.lit(1)) * F.col("__crashes")).alias("weather_rows"),
     )
     if not expand:
         return out
