@@ -3,7 +3,9 @@
 Right sides are reduced to one row per key before they meet the left side. Joins carry no
 broadcast hint: Spark broadcasts a side only when its measured size is under the session's
 threshold, and otherwise splits hot left partitions at run time (adaptive skew join), which
-also spreads identical copies and null keys.
+also spreads identical copies and null keys. Spark does that only where both sides come
+straight from a shuffle made for the join, so a right side that is already laid out by the
+join keys, being grouped by them, goes through `spread_join`.
 """
 
 from __future__ import annotations
@@ -16,6 +18,23 @@ from sightline.functions import aggregates as A
 from sightline.functions import columns as X
 
 
+SALTS = 8
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, keys: list[str], salts: int = SALTS
+) -> DataFrame:
+    """Left join to a table with one row per key, safe for hot and null keys.
+
+    Left rows of a key are dealt to `salts` buckets and the right rows are repeated per bucket.
+    The added key also makes Spark shuffle the right side for this join, without which it
+    would not split what is still hot (copies of one row all fall into one bucket).
+    """
+    dealt = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [*keys, "__salt"], "left").drop("__salt")
+
+
 def bucket_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -29,7 +48,7 @@ def bucket_join(
         "lon_bucket", X.bucket(F.col(lon), decimals)
     )
     known = lookup.filter(F.col("lat_bucket").isNotNull() & F.col("lon_bucket").isNotNull())
-    out = keyed.join(known, ["lat_bucket", "lon_bucket"], "left")
+    out = spread_join(keyed, known, ["lat_bucket", "lon_bucket"])
     return out if keep_buckets else out.drop("lat_bucket", "lon_bucket")
 
 
@@ -39,7 +58,7 @@ def with_group_stats(
     """Add statistics of each row's group. The group table is combined map-side and joined
     back, so no task has to hold a whole group as a window would."""
     stats = (df if where is None else df.filter(where)).groupBy(*keys).agg(*aggs)
-    return df.join(stats, keys, "left")
+    return spread_join(df, stats, keys)
 
 
 def match_keys(raw: Column, alt_matches: dict[str, str]) -> Column:
