@@ -155,14 +155,17 @@ def nearby_events(
     )
     around = by_day.rangeBetween(-max_days, max_days)
     last = lambda c, w: F.last(c, ignorenulls=True).over(w)
+
+    def within(c: str, days: int) -> Column:
+        """Sum over the days around, as a difference of two running sums (one step per row)."""
+        upto = lambda d: F.sum(c).over(by_day.rangeBetween(W.unboundedPreceding, d))
+        return F.coalesce(upto(days), F.lit(0)) - F.coalesce(upto(-days - 1), F.lit(0))
+
     looked = merged.select(
         "key",
         "day",
         "__spot",
-        *[
-            F.coalesce(F.sum(c).over(by_day.rangeBetween(-days, days)), F.lit(0)).alias(name)
-            for name, (c, days) in spans.items()
-        ],
+        *[within(c, days).alias(name) for name, (c, days) in spans.items()],
         *[F.max(c).over(around).alias(name) for name, c in tops.items()],
         (F.col("day") - last("__hit", upto_now)).alias("__back"),
         last("near", upto_now).alias("__near_back"),
