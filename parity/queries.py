@@ -60,12 +60,12 @@ def sightings(spark, d):
 
 
 def cleaned(spark, d):
-    return C.standardize_sightings(sightings(spark, d), id_col="sight_key")
+    return C.standardize_sightings(durable(sightings(spark, d)), id_col="sight_key")
 
 
 def enriched(spark, d):
     return E.location_enriched(
-        durable(cleaned(spark, d)), C.coordinate_lookup(raw(spark, d, "coordinates"))
+        cleaned(spark, d), C.coordinate_lookup(raw(spark, d, "coordinates"))
     )
 
 
@@ -238,7 +238,7 @@ def _(spark, d):
     "duration_seconds_clean latitude_clean longitude_clean",
 )
 def _(spark, d):
-    return C.standardize_sightings(sightings(spark, d).drop("sight_key"))
+    return C.standardize_sightings(durable(sightings(spark, d)).drop("sight_key"))
 
 
 query(
