@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -76,14 +75,11 @@ def refresh_partitions(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is made only for a local session without any."""
+    """The folder of intermediate tables, which the driver and all executors share."""
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sightline-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder
 
 
 def durable(df: DataFrame) -> DataFrame:

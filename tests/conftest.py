@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -8,6 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from sightline.session import tune  # noqa: E402
 
+STORED = tempfile.mkdtemp(prefix="tests-stored-")
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,6 +21,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", STORED)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
