@@ -2,14 +2,14 @@
 
 A filter is the cap around a direction of a structured random product code: after a random
 rotation the space is cut into two halves with a small code each, and every pair of codewords is
-one direction. List decoding finds all directions whose inner product with a vector exceeds
+one direction. `CODES` independent codes are used. List decoding finds all directions whose inner product with a vector exceeds
 the cap height, by sorting one half's inner products and searching it for each codeword of the
 other. Vectors of one label that share a filter are compared exactly, in double precision.
 
 The code grows with the number of distinct vectors, so that buckets keep their expected size,
-and the cap height follows from it, so that the expected number of shared filters of a pair at
-the threshold is at least `SHARED`. A pair at the threshold is missed with a probability below
-about 1e-3 (measured in the tests); closer pairs less often.
+and the cap height follows from it, so that a pair at the threshold is expected to share
+`SHARED` filters of each code. Such a pair is missed with a probability of about 1e-3 (measured
+at 64 dimensions; the tests hold it below 1e-2), closer pairs less often.
 
 Equal vectors of a label are one class and are compared once. Buckets above `BLOCK` vectors are
 dealt out as pairs of blocks. A pair is counted in the lowest filter that both share. Vectors
@@ -34,8 +34,9 @@ from sightline.llm.runs import sorted_runs
 from sightline.sources.tables import durable
 
 THRESHOLD = 0.93
-SHARED = 12.0
-BUCKET = 8.0
+CODES = 8
+SHARED = 3.0
+BUCKET = 64.0
 BLOCK = 2048
 SEED = 93
 
@@ -54,9 +55,9 @@ def plan_code(n: int, threshold: float = THRESHOLD) -> tuple[int, float]:
     return words, height
 
 
-def code(dim: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rotation and the two codes, the same in every task."""
-    rng = np.random.default_rng([SEED, dim, words])
+def code(dim: int, words: int, which: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rotation and the two halves of one code, the same in every task."""
+    rng = np.random.default_rng([SEED, dim, words, which])
     rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
     halves = []
     for size in (dim - dim // 2, dim // 2):
@@ -66,25 +67,29 @@ def code(dim: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def decode(unit: np.ndarray, words: int, height: float) -> list[np.ndarray]:
-    """The sorted filters of each row of unit vectors; at least its best one."""
+    """The filters of each row of unit vectors in rising order; at least the best of each code.
+
+    Inner products are rounded, so that a vector has the same filters in every batch.
+    """
     dim = unit.shape[1]
-    rotation, (c1, c2) = code(dim, words)
-    turned = unit @ rotation
-    first, second = turned[:, : c1.shape[1]] @ c1.T, turned[:, c1.shape[1] :] @ c2.T
     least = height / math.sqrt(dim)
-    out = []
-    for a, b in zip(first, second):
-        order = np.argsort(-b)
-        falling = -b[order]
-        some = np.flatnonzero(a >= least + falling[0])
-        if not len(some):
-            out.append(np.array([int(a.argmax()) * words + int(order[0])]))
-            continue
-        n = np.searchsorted(falling, a[some] - least, "right")
-        n = np.maximum(n, 1)
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        out.append(np.sort(np.repeat(some, n) * words + order[place]))
-    return out
+    out: list[list[np.ndarray]] = [[] for _ in unit]
+    for which in range(CODES):
+        rotation, (c1, c2) = code(dim, words, which)
+        turned = unit @ rotation
+        first = np.round(turned[:, : c1.shape[1]] @ c1.T, 9)
+        second = np.round(turned[:, c1.shape[1] :] @ c2.T, 9)
+        base = which * words * words
+        for a, b, lists in zip(first, second, out):
+            order = np.argsort(-b, kind="stable")
+            falling = -b[order]
+            some = np.flatnonzero(a - least >= falling[0])
+            if not len(some):
+                some = a.argmax(keepdims=True)
+            n = np.maximum(np.searchsorted(falling, a[some] - least, "right"), 1)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            lists.append(np.sort(base + np.repeat(some, n) * words + order[place]))
+    return [np.concatenate(lists) for lists in out]
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -103,12 +108,15 @@ def _decode(words: int, height: float):
                     x = matrix(rows.column("embedding"))
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
                     lists = pa.array(decode(x, words, height), pa.list_(pa.int64()))
-                    yield rows.append_column("filters", lists)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(rows.column(c) for c in ("vec_id", "label", "dim")), lists],
+                        ["vec_id", "label", "dim", "filters"],
+                    )
 
     return run
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, words: int, height: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_runs(batches, ["label", "dim", "filter", "low", "high"]):
             if len(rows) < 2:
@@ -119,7 +127,6 @@ def _verify(threshold: float):
             block = rows.column("block").to_numpy()
             ids, copies = rows.column("vec_id").to_numpy(), rows.column("copies").to_numpy()
             here = rows.column("filter")[0].as_py()
-            filters = rows.column("filters").to_pylist()
             near = (x @ x.T) / np.outer(norm, norm) >= threshold
             if low != high:
                 near &= block[:, None] != block[None, :]
@@ -128,17 +135,15 @@ def _verify(threshold: float):
                 continue
             linked = np.zeros(len(ids), np.int64)
             union = Union(len(ids))
-            sets = {}
+            touched = np.unique(np.concatenate([i, j]))
+            lists = decode(x[touched] / norm[touched, None], words, height)
+            sets = dict(zip(touched.tolist(), map(frozenset, lists)))
             for p, q in zip(i.tolist(), j.tolist()):
                 union.join(p, q)
-                for k in (p, q):
-                    if k not in sets:
-                        sets[k] = frozenset(filters[k])
                 if min(sets[p] & sets[q]) == here:
                     linked[p] += copies[q]
                     linked[q] += copies[p]
-            touched = sorted(sets)
-            root = [int(ids[union.find(k)]) for k in touched]
+            root = [int(ids[union.find(k)]) for k in touched.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[touched]), pa.array(linked[touched]), pa.array(root, pa.int64())],
                 ["vec_id", "linked", "root"],
@@ -172,31 +177,30 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     )
     words, height = plan_code(classes.count(), threshold)
     kind = dict(classes.dtypes)
+    # Filters and the dealing of buckets are settled on narrow rows; vectors join last.
     decoded = durable(
-        classes.select("vec_id", "label", "dim", "copies", "embedding").mapInArrow(
+        classes.select("vec_id", "label", "dim", "embedding").mapInArrow(
             _decode(words, height),
-            f"vec_id long, label {kind['label']}, dim long, copies long, "
-            f"embedding {kind['embedding']}, filters array<long>",
+            f"vec_id long, label {kind['label']}, dim long, filters array<long>",
         )
     )
-    spread = decoded.withColumn("filter", F.explode("filters"))
     at = ["label", "dim", "filter"]
-    sizes = decoded.select("label", "dim", F.explode("filters").alias("filter")).groupBy(*at).count()
-    sizes = sizes.filter(F.col("count") > 1)
-    blocks = F.ceil(F.col("count") / block).cast("long")
+    spread = decoded.select("vec_id", "label", "dim", F.explode("filters").alias("filter"))
+    sizes = spread.groupBy(*at).count().filter("count > 1")
     dealt = (
         spread.join(sizes, at)
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", F.ceil(F.col("count") / block).cast("long"))
         .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
         .drop("count", "blocks", "other")
+        .join(classes.select("vec_id", "copies", "embedding"), "vec_id")
     )
     found = durable(
         dealt.repartition(*at, "low", "high")
         .sortWithinPartitions(*at, "low", "high", "vec_id")
-        .mapInArrow(_verify(threshold), "vec_id long, linked long, root long")
+        .mapInArrow(_verify(threshold, words, height), "vec_id long, linked long, root long")
     )
     links = found.groupBy("vec_id").agg(F.sum("linked").alias("linked"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))

@@ -193,16 +193,17 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
     if cuts[0] is None:
         return []
     edges = [sorted(cuts[n]) for n in names]
+
+    def bin_of(i: int, cuts: list[float]) -> Column:
+        """How many cuts a value reaches."""
+        reached = F.filter(F.array(*map(F.lit, cuts)), lambda t: t <= F.get("v", F.lit(i)))
+        return F.size(reached)
+
     binned = durable(
         rows.select(
             "bad",
             "prune",
-            F.array(
-                *[
-                    F.size(F.filter(F.array(*map(F.lit, e)), lambda t, i=i: t <= F.get("v", F.lit(i))))
-                    for i, e in enumerate(edges)
-                ]
-            ).alias("bins"),
+            F.array(*[bin_of(i, e) for i, e in enumerate(edges)]).alias("bins"),
         )
         .groupBy("bad", "prune", "bins")
         .agg(F.count("*").alias("n"))

@@ -10,9 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import language_id, packing, token_files, toxicity
+from sightline.llm import (
+    cap_filters,
+    jaccard_join,
+    language_id,
+    packing,
+    quality_rules,
+    secret_scan,
+    token_files,
+    toxicity,
+)
 from sightline.llm.text import fold, table
-from sightline.sources.tables import shared_folder
+from sightline.sources.tables import durable, shared_folder
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +32,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_langs")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    stats = durable(quality_rules.statistics(docs).select("doc_id", "__q.*"))
+    rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(stats, rules)
+    return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "rule")
+
+
+def op6_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.learn(docs, labels, fold(F.col("doc_id"), 4) != 2)
@@ -48,14 +73,22 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInArrow(_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_of(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_cap_filters": op6_cap_filters,
     "op7_toxicity": op7_toxicity,
     "op8_token_files": op8_token_files,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
 }
 
