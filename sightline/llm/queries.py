@@ -10,10 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sightline.llm import (
     cap_filters,
     jaccard_join,
     language_id,
+    license_scan,
+    mixing,
     packing,
     quality_rules,
     secret_scan,
@@ -32,6 +35,19 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_langs")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A budget of all tokens: large sources are cut, small ones repeated up to four times."""
+    rows = durable(mixing.items(table(spark, sf_dir, "documents")))
+    budget = rows.agg(F.sum("n_tokens")).first()[0] or 0
+    mix = mixing.plan(rows, target_entropy=0.95, repetition=4.0, budget=budget)
+    mixed = mixing.copies(rows, mix)
+    return mixed.select("doc_id", "source", "n_tokens", "weight", "copies")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -83,6 +99,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
+    "op3_mixing": op3_mixing,
     "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_cap_filters": op6_cap_filters,
@@ -90,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_license_scan": license_scan.sql()}

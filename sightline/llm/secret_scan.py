@@ -235,14 +235,21 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """`docs` with the secrets in `text` replaced; all other columns and rows stay."""
+    """`docs` with the secrets in `text` replaced, and `n_chars` where the text has changed; all
+    other columns and rows stay."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            texts = pa.array(
-                [redact_text(t) for t in block.column("text").to_pylist()],
-                block.column("text").type,
+            old = block.column("text").to_pylist()
+            new = [redact_text(t) for t in old]
+            out = block.set_column(
+                block.schema.get_field_index("text"), "text", pa.array(new, block.column("text").type)
             )
-            yield block.set_column(block.schema.get_field_index("text"), "text", texts)
+            if "n_chars" in block.schema.names:
+                own = block.column("n_chars")
+                sizes = [n if a is b else len(b) for n, a, b in zip(own.to_pylist(), old, new)]
+                at = block.schema.get_field_index("n_chars")
+                out = out.set_column(at, "n_chars", pa.array(sizes, own.type))
+            yield out
 
     return docs.mapInArrow(run, docs.schema)
