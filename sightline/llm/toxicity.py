@@ -140,7 +140,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             total = np.bincount(
                 pair >> BITS, dense[pair & ((1 << BITS) - 1)], minlength=len(block)
             )
-            s = 1 / (1 + np.exp(-np.clip(total + model.bias, -700, 700)))
+            s = np.exp(-np.logaddexp(0, -(total + model.bias)))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
