@@ -193,15 +193,13 @@ def _groups(percent: int):
 class SignatureTree:
     """Bitmaps of one group as a tree of nodes (sizes, OR of bitmaps) over rows ordered by size."""
 
-    def __init__(self, sizes: np.ndarray, bitmaps: list[bytes], percent: int):
+    def __init__(self, sizes: np.ndarray, bitmaps: list[bytes], percent: int, width: int):
         self.percent = percent
-        width = min(map(len, bitmaps))
-        folded = np.stack([self._fold(np.frombuffer(b, np.uint8), width) for b in bitmaps])
+        folded = np.stack([self._fold(np.frombuffer(b, np.uint64), width // 8) for b in bitmaps])
         self.order = np.lexsort((folded[:, 0], sizes))
         self.sizes, self.rows = sizes[self.order], folded[self.order]
         # Elements of a set beyond one for each bit: common elements may exceed common bits by these.
-        self.slack = self.sizes - np.bitwise_count(self.rows).sum(axis=1)
-        self.dense = np.unpackbits(self.rows, axis=1).astype(np.float32)
+        self.slack = self.sizes - np.bitwise_count(self.rows).sum(axis=1, dtype=np.int64)
         n = len(sizes)
         self.levels = [[(i, min(i + LEAF, n)) for i in range(0, n, LEAF)]]
         while len(self.levels[-1]) > 1:
@@ -245,7 +243,8 @@ class SignatureTree:
                 stack += [(level - 1, p, q) for p in left for q in right if p <= q]
                 continue
             (a, b), (c, d) = self.levels[0][i], self.levels[0][j]
-            common = (self.dense[a:b] @ self.dense[c:d].T).astype(np.int64)
+            both = self.rows[a:b, None] & self.rows[None, c:d]
+            common = np.bitwise_count(both).sum(axis=2, dtype=np.int64)
             most = common + np.minimum(self.slack[a:b, None], self.slack[None, c:d])
             x, y = self.sizes[a:b, None], self.sizes[None, c:d]
             fit = (most >= needed(x, y, self.percent)) & (
@@ -257,6 +256,27 @@ class SignatureTree:
                 yield p[keep] + a, q[keep] + c
 
 
+def candidate_pairs(
+    sizes: np.ndarray, bitmaps: list[bytes], percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Arrays of row pairs that may link, from one tree for each bitmap width.
+
+    Sets that link have widths that are equal or one step apart; the wider bitmap is folded.
+    """
+    width = np.array([len(b) for b in bitmaps])
+    for w in np.unique(width).tolist():
+        own = width == w
+        near = (width == 2 * w) & (percent * sizes <= 100 * sizes[own].max())
+        use = np.flatnonzero(own | near)
+        if len(use) < 2:
+            continue
+        tree = SignatureTree(sizes[use], [bitmaps[i] for i in use], percent, w)
+        for p, q in tree.pairs():
+            p, q = use[tree.order[p]], use[tree.order[q]]
+            keep = own[p] | own[q]
+            yield p[keep], q[keep]
+
+
 def _candidates(percent: int):
     """Rows (root, rep): clusters of classes that the tree of their group could not tell apart."""
 
@@ -266,13 +286,13 @@ def _candidates(percent: int):
                 continue
             rep, block = rows.column("rep").to_numpy(), rows.column("block").to_numpy()
             cross = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
-            tree = SignatureTree(rows.column("n").to_numpy(), rows.column("bits").to_pylist(), percent)
             union = Union(len(rep))
-            place = np.argsort(np.argsort(rep[tree.order]))  # roots are the smallest ids
+            place = np.argsort(np.argsort(rep))  # roots are the smallest ids
             touched: set[int] = set()
-            for p, q in tree.pairs():
+            sizes, bitmaps = rows.column("n").to_numpy(), rows.column("bits").to_pylist()
+            for p, q in candidate_pairs(sizes, bitmaps, percent):
                 if cross:
-                    apart = block[tree.order[p]] != block[tree.order[q]]
+                    apart = block[p] != block[q]
                     p, q = p[apart], q[apart]
                 for i, j in zip(place[p].tolist(), place[q].tolist()):
                     union.join(i, j)
