@@ -50,6 +50,7 @@ LEAF = 32
 FANOUT = 8
 GROUP_BLOCK = 4096
 CLUSTER_BLOCK = 256
+FILTER_WORD_BITS = 18  # 64-bit words of the filter of ids
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -352,6 +353,40 @@ def _compare(words: int, percent: int):
     return run
 
 
+def _filter_bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.astype(np.int64).view(np.uint64))
+    word = h & np.uint64((1 << FILTER_WORD_BITS) - 1)
+    return word.astype(np.int64), np.uint64(1) << (h >> np.uint64(58))
+
+
+def _filter_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = np.zeros(1 << FILTER_WORD_BITS, np.uint64)
+    for batch in batches:
+        np.bitwise_or.at(words, *_filter_bits(batch.column(0).to_numpy()))
+    at = np.flatnonzero(words)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].view(np.int64))], ["w", "bits"])
+
+
+def thinned(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """`docs` (doc_id, text) without most rows whose id is not in `ids`, before texts are joined.
+
+    A Bloom filter of fixed size is gathered from the ids. It lets through all that are in and a
+    few others; with very many ids it lets through everything, so it only saves work.
+    """
+    rows = ids.mapInArrow(_filter_words, "w long, bits long").groupBy("w").agg(F.bit_or("bits").alias("b"))
+    rows = rows.toArrow()
+    words = np.zeros(1 << FILTER_WORD_BITS, np.uint64)
+    words[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("doc_id").is_valid())
+            word, bit = _filter_bits(batch.column("doc_id").to_numpy())
+            yield batch.filter(pa.array((words[word] & bit) != 0))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _dealt(rows: DataFrame, key: str, id_: str, size: int) -> DataFrame:
     """`rows` with blocks by id, once for each pair of blocks of their group that they take part in."""
     sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / size).cast("long").alias("blocks"))
@@ -381,14 +416,15 @@ def link(
             "doc_id long, n long, k1 long, k2 long, rare array<long>, often array<long>, bits binary",
         )
     )
-    classes = (
+    # Copies fall together before the shuffle; the first of each class brings its whole row.
+    first = F.struct(F.col("doc_id").alias("rep"), "n", "rare", "often", "bits")
+    own = durable(
         described.filter("n > 0 and doc_id is not null")
         .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("rep"))
+        .agg(F.min_by(first, "doc_id").alias("first"))
+        .select("k1", "k2", "first.*")
     )
-    reps = classes.select("rep").distinct()
-    own = described.filter("n > 0").join(reps, F.col("doc_id") == F.col("rep"))
-    own = durable(own.select("rep", "n", "rare", "often", "bits"))
+    classes = own.select("k1", "k2", "rep")
 
     rare = (
         own.select(F.explode("rare").alias("shingle"), "n", "rep")
@@ -412,7 +448,7 @@ def link(
         .mapInArrow(_candidates(percent), "root long, rep long")
         .distinct()
     )
-    texts = docs.filter(F.col("text").isNotNull())
+    texts = durable(thinned(docs.filter(F.col("text").isNotNull()), clusters.select("rep")))
     compare = lambda rows: (
         rows.join(texts, F.col("rep") == F.col("doc_id"))
         .select("root", "low", "high", "block", "component", "doc_id", "text")
