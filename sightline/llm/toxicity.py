@@ -48,8 +48,10 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> tuple[np.ndarray, float]:
-    """FTRL-proximal over sparse binary rows; the last place of the state is the bias."""
+    """FTRL-proximal over sparse binary rows; the last place of the state is the bias, which is
+    learned as a shift of the log-odds of the labels, so that unknown words leave a text at these."""
     size = (1 << BITS) + 1
+    prior = np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
     z, n = np.zeros(size), np.zeros(size)
     order = np.random.default_rng(seed)
 
@@ -65,12 +67,12 @@ def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> tuple
         for i in order.permutation(len(rows)):
             at = rows[i]
             w = weights(at)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - labels[i]
+            g = 1 / (1 + np.exp(-np.clip(prior + w.sum(), -35, 35))) - labels[i]
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - step * w
             n[at] += g * g
     w = weights(np.arange(size))
-    return w[:-1], float(w[-1])
+    return w[:-1], float(prior + w[-1])
 
 
 def _train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
