@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.text import blocks
-from sightline.llm.tokens import default_path, encoder, with_end
+from sightline.llm.tokens import BLOCK_CHARS, default_path, encoder, with_end
 from sightline.sources.tables import durable
 
 LENGTH = 2048
@@ -140,7 +140,7 @@ def powers_of_two(window: Window) -> Iterator[Window]:
 
 def _documents(batches, path: str, end_id: int) -> Iterator[Piece]:
     encode = encoder(path).encode
-    for block in blocks(batches):
+    for block in blocks(batches, max_chars=BLOCK_CHARS):
         ids, cuts = with_end(*encode(block.column("text")), end_id)
         for doc_id, own in zip(block.column("doc_id").to_pylist(), np.split(ids, cuts[1:-1])):
             yield Piece(doc_id, 0, own, len(own))

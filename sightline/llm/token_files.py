@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sightline.llm.text import blocks
-from sightline.llm.tokens import default_path, encoder, with_end
+from sightline.llm.tokens import BLOCK_CHARS, default_path, encoder, with_end
 
 CHUNK_IDS = 1 << 17
 LEVEL = 3
@@ -65,7 +65,7 @@ def _tokenize(
     batches: Iterable[pa.RecordBatch], path: str, end_id: int
 ) -> Iterator[tuple[int | None, np.ndarray]]:
     encode = encoder(path).encode
-    for block in blocks(batches):
+    for block in blocks(batches, max_chars=BLOCK_CHARS):
         ids, cuts = with_end(*encode(block.column("text")), end_id)
         yield from zip(block.column("doc_id").to_pylist(), np.split(ids, cuts[1:-1]))
 

@@ -13,11 +13,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from sightline.llm.text import words_of
 
 KEEP = 300_000
 JOINED = 64
+BLOCK_CHARS = 2_000_000
 
 
 def default_path() -> str:
@@ -62,6 +64,10 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none), and the places at which each text begins and ends."""
+        # The tokenizer lower-cases all but its special tokens, so letters may be lower-cased first;
+        # that leaves fewer distinct pieces.
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
         codes, offsets, distinct = words_of(texts)
         words = distinct.to_pylist()
         place = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))

@@ -21,7 +21,8 @@ def plain():
 
 def test_word_by_word_equals_whole_text(plain):
     encode = tokens.Encoder(tokens.default_path()).encode
-    for texts in (ODD_TEXTS, ODD_TEXTS[::-1], [], [None]):
+    shouted = [t and t.upper() for t in ODD_TEXTS]
+    for texts in (shouted, ODD_TEXTS, ODD_TEXTS[::-1], [], [None]):
         ids, cuts = encode(pa.array(texts, pa.string()))
         got = [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
         assert got == [plain(t, 0)[:-1] for t in texts]
