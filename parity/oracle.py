@@ -171,7 +171,7 @@ select c.*, l.coord_country as coord_lookup_country, l.coord_usa_state as coord_
   s.city_avg_longitude,
   {floors('s.city_sighting_count', V.CITY_FLOORS, V.CITY_BELOW)} as city_activity_level,
   case when c.country_standardized = 'UNITED STATES' then
-    {members('c.state_clean', {r: x.split() for r, x in V.STATE_REGIONS.items()},
+    {members('c.state_clean', V.STATE_REGIONS,
              text(V.STATE_REGION_ELSE))}
     else {members('c.country_standardized', V.COUNTRY_REGIONS, text(V.COUNTRY_REGION_ELSE))}
     end as region

@@ -7,6 +7,7 @@ written table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from parity import oracle
 from parity.oracle import AS_OF, statement
-from parity.standins import raw
+from parity.standins import EXTRA, raw
 from sightline.functions import columns as X
 from sightline.functions import fixed_values as V
 from sightline.operators import cleaning as C
@@ -27,7 +28,17 @@ from sightline.plans import flights as FL
 from sightline.plans import incidents as I
 from sightline.plans import sightings as S
 from sightline.plans.checks import CHECKS, quality_report
-from sightline.sources.tables import date_spine, durable, row_counts, sample_table
+from sightline.sources.tables import (
+    date_spine,
+    durable,
+    read_source,
+    read_table,
+    register_view,
+    row_counts,
+    sample_table,
+    shared_folder,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,6 +116,17 @@ def dashboard(spark, d):
     return S.dashboard_summary(enriched(spark, d), AS_OF)
 
 
+def stored_source(spark, d, name):
+    """The raw table as a file of the source layer, read back through its declared schema."""
+    root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    write_table(raw(spark, d, name), root, "raw", name)
+    extra = EXTRA.get(name, "").replace(",", "").split()[:1]
+    read = read_source(spark, name, f"{root}/raw", null_tokens=["\\N"])
+    if not extra:
+        return read
+    return read_table(spark, root, "raw", name).select(*read.columns, *extra)
+
+
 # ---- sources and sinks ----------------------------------------------------------------------
 
 for _source, _doubles in {
@@ -116,7 +138,7 @@ for _source, _doubles in {
     "coordinates": "latitude longitude usa_state_latitude usa_state_longitude",
 }.items():
     query(f"scan_{_source}", f"select * from raw_{_source}", _doubles)(
-        lambda spark, d, n=_source: raw(spark, d, n)
+        lambda spark, d, n=_source: stored_source(spark, d, n)
     )
 
 
@@ -169,6 +191,42 @@ def _(spark, d):
     )
 
 
+@query(
+    "stored_partition",
+    "select crash_date, crash_year, crash_country, total_fatalities from crashes "
+    "where crash_year = 1996 and total_fatalities > 10",
+)
+def _(spark, d):
+    # A view over a table partitioned by year: the year picks folders, the rest is pushed down.
+    root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    stored = write_table(crashes(spark, d), root, "core", "crashes", partition_by=["crash_year"])
+    register_view(stored, "stored_crashes")
+    return spark.sql(
+        "select crash_date, crash_year, crash_country, total_fatalities from stored_crashes "
+        "where crash_year = 1996 and total_fatalities > 10"
+    )
+
+
+@query("sample_top_locations", "select * from locations order by location_type, global_rank limit 100",
+       "avg_duration_seconds median_duration_seconds center_latitude center_longitude pct_with_coordinates")
+def _(spark, d):
+    table = S.top_locations(enriched(spark, d), AS_OF)
+    return sample_table(table, 100, [F.asc("location_type"), F.asc("global_rank")])
+
+
+@query(
+    "sample_by_country_time",
+    "select * from country_time order by country nulls last, region nulls last, time_grain, "
+    "period_date nulls last limit 100",
+    "avg_duration_seconds median_duration_seconds max_duration_seconds pct_with_coordinates "
+    "pct_with_comments avg_latitude avg_longitude",
+)
+def _(spark, d):
+    keys = ["country", "region", "time_grain", "period_date"]
+    table = S.by_country_time(enriched(spark, d))
+    return sample_table(table, 100, [F.col(c).asc_nulls_last() for c in keys])
+
+
 @query(
     "sample_ordered",
     "select * from cleaned_keyed order by sighting_datetime, sighting_id limit 100",
@@ -359,6 +417,11 @@ def _(spark, d):
     return E.weather_incident_analysis(crashes(spark, d), weather(spark, d), expand=False)
 
 
+query("weather_incident_rows", "select * from incidents", "fatality_rate_percent")(
+    lambda spark, d: E.weather_incident_analysis(crashes(spark, d), weather(spark, d))
+)
+
+
 query(
     "flight_volume",
     "select * from volumes",
@@ -585,6 +648,12 @@ _STEPS_OF = {
     "flight_volume": "volumes",
     "crashes_by_day": "crash_days",
     "weather_safety": "safety",
+    "sightings_with_weather": "sighting_days",
+    "by_country_time": "country_time",
+    "top_locations": "locations",
+    "dashboard_summary": "dashboard",
+    "debunking_analysis": "debunking",
+    "comprehensive_summary": "comprehensive",
 }
 
 
@@ -616,17 +685,28 @@ def _literal(v) -> str:
     " union all ".join(_check_sql(m, *check) for m in _STEPS_OF for check in CHECKS[m]),
 )
 def _(spark, d):
-    build = {
-        "clean_weather": weather,
-        "clean_crashes": crashes,
-        "clean_flights": flights,
-        "standardize_sightings": cleaned,
-        "location_enriched": enriched,
-        "flight_volume": volumes,
-        "crashes_by_day": crash_days,
-        "weather_safety": safety,
+    facts = enriched(spark, d)
+    cases = I.debunking_analysis(E.proximity_correlation(facts, crashes(spark, d)))
+    risks = safety(spark, d)
+    tables = {
+        "clean_weather": weather(spark, d),
+        "clean_crashes": crashes(spark, d),
+        "clean_flights": flights(spark, d),
+        "standardize_sightings": cleaned(spark, d),
+        "location_enriched": facts,
+        "flight_volume": volumes(spark, d),
+        "crashes_by_day": crash_days(spark, d),
+        "weather_safety": risks,
+        "sightings_with_weather": I.sightings_with_weather(
+            sightings(spark, d), thin_weather(spark, d)
+        ),
+        "by_country_time": S.by_country_time(facts),
+        "top_locations": S.top_locations(facts, AS_OF),
+        "dashboard_summary": S.dashboard_summary(facts, AS_OF),
+        "debunking_analysis": cases,
+        "comprehensive_summary": I.comprehensive_summary(cases, risks, facts),
     }
-    return quality_report({m: build[m](spark, d) for m in _STEPS_OF})
+    return quality_report(tables)
 
 
 # ---- metrics --------------------------------------------------------------------------------

@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from sightline.session import tune
 from sightline.sources.schemas import SCHEMAS
-from sightline.sources.tables import spread
 
 
 
@@ -215,12 +214,6 @@ STATEMENTS = {
     "weather": (WEATHER, ["events"]),
     "flights": (FLIGHTS, ["lineitem", "orders", "customer", "supplier", "nation", "part"]),
 }
-# Fact tables may be one small file; their keys are what rows are spread by.
-FACTS = {
-    "orders": ["o_orderkey"],
-    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"],
-    "events": ["event_id"],
-}
 EXTRA = {"sightings": ", sight_key bigint"}
 
 
@@ -228,7 +221,6 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     statement, tables = STATEMENTS[name]
     tune(spark)
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
-    frames = {t: spread(df, *FACTS[t]) if t in FACTS else df for t, df in frames.items()}
     df = spark.sql(statement.replace("{text}", "string"), **frames)
     return df.to(StructType.fromDDL(SCHEMAS[name] + EXTRA.get(name, "")))
 

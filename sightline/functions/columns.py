@@ -68,8 +68,12 @@ def coerce_timestamp(c: Column, fallback: Column | None = None) -> Column:
 
 
 def timestamp_rule_name(c: Column, fallback: Column | None = None) -> Column:
+    """Name of the rule that reads a value. Numbers too large for any timestamp, which the rules
+    leave to the fallback, are reported as `epoch_out_of_range`."""
+    number = c.cast("string").try_cast("double")
+    beyond = F.when(number >= MILLIS_TO, F.lit("epoch_out_of_range"))
     named = [F.when(a.isNotNull(), F.lit(n)) for n, a in timestamp_rules(c, fallback)]
-    return F.coalesce(*named, F.lit("none"))
+    return F.coalesce(*named[:2], beyond, *named[2:], F.lit("none"))
 
 
 def day_of(ts: Column) -> Column:

@@ -126,12 +126,12 @@ COUNTRY_SYNONYMS = {
     "FRANCE": ["FR", "FRANCE"],
 }
 STATE_REGIONS = {
-    "US West": "CA OR WA NV AK HI",
-    "US Southwest": "TX NM AZ OK AR LA",
-    "US Southeast": "FL GA SC NC VA WV KY TN AL MS",
-    "US Northeast": "NY NJ PA CT RI MA VT NH ME MD DE DC",
-    "US Midwest": "IL IN OH MI WI MN IA MO ND SD NE KS",
-    "US Mountain": "MT WY CO UT ID",
+    "US West": ["CA", "OR", "WA", "NV", "AK", "HI"],
+    "US Southwest": ["TX", "NM", "AZ", "OK", "AR", "LA"],
+    "US Southeast": ["FL", "GA", "SC", "NC", "VA", "WV", "KY", "TN", "AL", "MS"],
+    "US Northeast": ["NY", "NJ", "PA", "CT", "RI", "MA", "VT", "NH", "ME", "MD", "DE", "DC"],
+    "US Midwest": ["IL", "IN", "OH", "MI", "WI", "MN", "IA", "MO", "ND", "SD", "NE", "KS"],
+    "US Mountain": ["MT", "WY", "CO", "UT", "ID"],
 }
 STATE_REGION_ELSE = "US Other"
 COUNTRY_REGIONS = {
@@ -266,3 +266,11 @@ KPI_TYPES = (
     "Aircraft Vulnerability Types",
     "Aircraft types with weather vulnerability analysis",
 )
+
+# Labels of sightings and regions, from the strongest to the weakest.
+SUSPICION_LABELS = ["HIGH_SUSPICION", "MODERATE_SUSPICION", "LOW_SUSPICION", "MINIMAL_SUSPICION"]
+EVIDENCE_LABELS = ["STRONG_EVIDENCE", "MODERATE_EVIDENCE", "WEAK_EVIDENCE", "NO_EVIDENCE"]
+REGION_ACTIVITY_LABELS = ["HIGH_ACTIVITY_REGION", "MODERATE_ACTIVITY_REGION", "LOW_ACTIVITY_REGION"]
+CITY_ACTIVITY_LABELS = [
+    "VERY HIGH ACTIVITY", "HIGH ACTIVITY", "MEDIUM ACTIVITY", "LOW ACTIVITY", "MINIMAL ACTIVITY",
+]

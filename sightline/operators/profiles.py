@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sightline.sources.tables import durable
-
-VALUES_PER_GROUP = 100_000
-
 
 def at_grains(df: DataFrame, tag: str, grains: dict[str, dict[str, Column]], where=None) -> DataFrame:
     """Repeat each row once per grain under one struct key `g` (tag plus that grain's keys).
@@ -44,11 +40,6 @@ def multi_grain(
     return out.select("g.*", *out.columns[1:])
 
 
-def reaggregate(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
-    """Second-level roll-up of an already aggregated table."""
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def activity_span(df: DataFrame, keys: list[str], date: str) -> DataFrame:
     """First and last activity per group with the span in days and calendar years."""
     first, last = F.min(date), F.max(date)
@@ -71,55 +62,35 @@ def grouped_mode(
     return counts.groupBy(*keys).agg(best.alias(out))
 
 
+def value_range(value: Column) -> Column:
+    """A number that never falls as the value rises: sign, exponent and 12 bits of the mantissa."""
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    step = F.floor((size / F.pow(F.lit(2.0), power) - 1) * 4096)
+    return F.when(value == 0, F.lit(0)).otherwise(
+        (F.signum(value) * ((power + 1100) * 4096 + step)).cast("long")
+    )
+
+
 def grouped_median(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    weight: Column,
-    out: str,
-    values_per_group: int = VALUES_PER_GROUP,
+    df: DataFrame, keys: list[str], value: str, weight: Column, out: str
 ) -> DataFrame:
     """Exact interpolated median per group.
 
-    Values are first counted per group. Groups with few distinct values go through Spark's
-    weighted `percentile`. Groups beyond that bound, whose values one task should not hold,
-    are cut into range partitions instead: partition totals tell in which partition the middle
-    ranks fall, and only there are values put in order.
+    Values are counted per group, and counts are summed by ranges of values. The running sums of
+    the ranges tell in which of them the middle ranks fall, and only there are values put in
+    order. So no task holds or sorts all values of a group.
     """
-    counts = durable(
+    counts = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("__v"))
+        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.sum(weight).alias("__n"))
-    )
-    sizes = counts.groupBy(*keys).agg(F.count("*").alias("__values"))
-    large = sizes.filter(F.col("__values") > values_per_group).drop("__values")
-    middle = F.percentile("__v", F.lit(0.5), F.col("__n")).alias(out)
-    if large.isEmpty():
-        return counts.groupBy(*keys).agg(middle)
-    split = null_safe_join(counts, large.withColumn("__large", F.lit(True)), keys, "left")
-    small = split.filter(F.col("__large").isNull()).groupBy(*keys).agg(middle)
-    return small.unionByName(_median_by_ranges(split.filter("__large"), keys, out))
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which null keys match each other; the right side's keys are dropped."""
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    same = reduce(
-        lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
-    )
-    return left.join(renamed, same, how).drop(*[f"__r_{k}" for k in keys])
-
-
-def _median_by_ranges(counts: DataFrame, keys: list[str], out: str) -> DataFrame:
-    ranged = durable(
-        counts.repartitionByRange(*keys, "__v")
-        .withColumn("__part", F.spark_partition_id())
-        .select(*keys, "__v", "__n", "__part")
+        .withColumn("__part", value_range(F.col("__v")))
     )
     by_key = W.partitionBy(*keys)
     before = by_key.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     parts = (
-        ranged.groupBy(*keys, "__part")
+        counts.groupBy(*keys, "__part")
         .agg(F.sum("__n").alias("__size"))
         .withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0)))
         .withColumn("__total", F.sum("__size").over(by_key))
@@ -130,7 +101,7 @@ def _median_by_ranges(counts: DataFrame, keys: list[str], out: str) -> DataFrame
     )
     picked = parts.filter(inside(low) | inside(high))
     run = W.partitionBy(*keys, "__part").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
-    placed = null_safe_join(ranged, picked, [*keys, "__part"], "inner").withColumn(
+    placed = null_safe_join(counts, picked, [*keys, "__part"], "inner").withColumn(
         "__from", F.col("__before") + F.coalesce(F.sum("__n").over(run), F.lit(0))
     )
     holds = lambda rank: (
@@ -143,6 +114,15 @@ def _median_by_ranges(counts: DataFrame, keys: list[str], out: str) -> DataFrame
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join in which null keys match each other; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = reduce(
+        lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    )
+    return left.join(renamed, same, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def union_tagged(
     parts: dict[str, DataFrame], tag: str, columns: dict[str, str]
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sightline.sources.tables import durable
 
-COPIES_PER_TASK = 1_000_000
+COPIES_PER_PIECE = 1_000_000
 
 
 def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -18,25 +18,31 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> Data
     return df.withColumn("__rn", rn).filter("__rn = 1").drop("__rn")
 
 
-def spell_out_copies(df: DataFrame, out: str, per_task: int = COPIES_PER_TASK) -> DataFrame:
+def _pieces(counted: DataFrame, n: str, per_task: int) -> DataFrame:
+    """Rows cut into stretches `__start`..`__last` of their `n` copies, dealt out over tasks."""
+    zero = F.lit(0).cast("long")
+    starts = F.sequence(zero, F.col(n) - 1, F.lit(per_task).cast("long"))
+    keys = [c for c in counted.columns if c != n]
+    pieces = counted.withColumn("__start", F.explode(starts)).repartition("__start", *keys)
+    return pieces.withColumn("__last", F.least(F.col("__start") + per_task, F.col(n)) - 1)
+
+
+def repeat_rows(df: DataFrame, n: str, per_task: int = COPIES_PER_PIECE) -> DataFrame:
+    """Each row as often as its column `n` says. No row holds more than `per_task` copies at once."""
+    pieces = _pieces(df, n, per_task)
+    copies = pieces.withColumn("__copy", F.explode(F.sequence("__start", "__last")))
+    return copies.drop("__copy", "__start", "__last", n)
+
+
+def spell_out_copies(df: DataFrame, out: str, per_task: int = COPIES_PER_PIECE) -> DataFrame:
     """Number the identical copies of each row 0, 1, ...
 
-    Copies are first counted (combined map-side) and then written out again. Rows with more
-    copies than `per_task` are cut into pieces that go to different tasks.
+    Copies are first counted (combined map-side) and then written out again in pieces of
+    `per_task`, which are dealt out so that a row with very many copies fills several tasks.
     """
     counted = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
-    few = counted.filter(F.col("__copies") <= per_task).select(
-        *df.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)).alias(out)
-    )
-    starts = F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1, F.lit(per_task).cast("long"))
-    pieces = (
-        counted.filter(F.col("__copies") > per_task)
-        .withColumn("__start", F.explode(starts))
-        .repartition("__start", *df.columns)
-    )
-    last = F.least(F.col("__start") + per_task, F.col("__copies")) - 1
-    many = pieces.select(*df.columns, F.explode(F.sequence(F.col("__start"), last)).alias(out))
-    return few.unionByName(many)
+    pieces = _pieces(counted, "__copies", per_task)
+    return pieces.select(*df.columns, F.explode(F.sequence("__start", "__last")).alias(out))
 
 
 def global_row_number(
@@ -81,10 +87,17 @@ def top_k(
     return df.withColumn("__rn", rn).filter(F.col("__rn") <= k).drop("__rn")
 
 
-def add_rank(
-    df: DataFrame, out: str, order: list[Column], partition: list[str] | None = None
-) -> DataFrame:
-    """Row number within groups of bounded size (or over a bounded table, when no partition
-    is given); `global_row_number` is the form for everything else."""
-    window = W.partitionBy(*(partition or [F.lit(1)])).orderBy(*order)
+def add_rank(df: DataFrame, out: str, order: list[Column], partition: list[str]) -> DataFrame:
+    """Row number within groups of bounded size; `global_row_number` numbers everything else."""
+    window = W.partitionBy(*partition).orderBy(*order)
     return df.withColumn(out, F.row_number().over(window))
+
+
+def ranked_top_k(
+    df: DataFrame, order: list[Column], k: int, ranks: dict[str, list[str]]
+) -> DataFrame:
+    """First `k` rows in `order` with their rank in each of the groupings (none: overall)."""
+    out = top_k(df, order, k)
+    for name, partition in ranks.items():
+        out = add_rank(out, name, order, partition or [F.lit(1)])
+    return out

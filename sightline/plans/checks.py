@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from sightline.functions import fixed_values as V
 from sightline.operators.quality import check_report
 
 # Fixed values: (kind, column, arguments) per model.
@@ -26,12 +27,12 @@ CHECKS = {
         (
             "accepted_values",
             "weather_category",
-            "CLEAR CLOUDY RAINY SNOWY FOGGY STORMY WINDY OTHER".split(),
+            ["CLEAR", "CLOUDY", "RAINY", "SNOWY", "FOGGY", "STORMY", "WINDY", "OTHER"],
         ),
         (
             "accepted_values",
             "visibility_category",
-            "EXCELLENT GOOD MODERATE POOR VERY_POOR UNKNOWN".split(),
+            ["EXCELLENT", "GOOD", "MODERATE", "POOR", "VERY_POOR", "UNKNOWN"],
         ),
     ],
     "clean_crashes": [
@@ -40,13 +41,15 @@ CHECKS = {
         (
             "accepted_values",
             "casualty_severity",
-            "NO_FATALITIES LOW_CASUALTIES MODERATE_CASUALTIES HIGH_CASUALTIES MASS_CASUALTY UNKNOWN"
-            .split(),
+            [
+                "NO_FATALITIES", "LOW_CASUALTIES", "MODERATE_CASUALTIES", "HIGH_CASUALTIES",
+                "MASS_CASUALTY", "UNKNOWN",
+            ],
         ),
         (
             "accepted_values",
             "operator_type",
-            "MILITARY PRIVATE CARGO CHARTER COMMERCIAL UNKNOWN".split(),
+            ["MILITARY", "PRIVATE", "CARGO", "CHARTER", "COMMERCIAL", "UNKNOWN"],
         ),
     ],
     "clean_flights": [
@@ -61,32 +64,32 @@ CHECKS = {
         ),
         _bounded("departure_hour", 0, 23),
         ("expression_is_true", "number_of_stops", ">= 0"),
-        ("accepted_values", "stop_category", "NONSTOP ONE_STOP MULTIPLE_STOPS UNKNOWN".split()),
+        ("accepted_values", "stop_category", ["NONSTOP", "ONE_STOP", "MULTIPLE_STOPS", "UNKNOWN"]),
         _bounded("flight_duration_hours", 0, 24),
         (
             "accepted_values",
             "flight_duration_category",
-            "SHORT_HAUL MEDIUM_HAUL LONG_HAUL ULTRA_LONG_HAUL UNKNOWN".split(),
+            ["SHORT_HAUL", "MEDIUM_HAUL", "LONG_HAUL", "ULTRA_LONG_HAUL", "UNKNOWN"],
         ),
         (
             "accepted_values",
             "travel_class_category",
-            "ECONOMY BUSINESS FIRST PREMIUM_ECONOMY UNKNOWN".split(),
+            ["ECONOMY", "BUSINESS", "FIRST", "PREMIUM_ECONOMY", "UNKNOWN"],
         ),
         ("expression_is_true", "booking_lead_days", ">= 0"),
         (
             "accepted_values",
             "booking_timing_category",
-            "LAST_MINUTE SHORT_NOTICE ADVANCE EARLY_BOOKING UNKNOWN".split(),
+            ["LAST_MINUTE", "SHORT_NOTICE", "ADVANCE", "EARLY_BOOKING", "UNKNOWN"],
         ),
         ("expression_is_true", "ticket_price", "> 0"),
-        ("accepted_values", "price_category", "BUDGET MODERATE PREMIUM LUXURY UNKNOWN".split()),
+        ("accepted_values", "price_category", ["BUDGET", "MODERATE", "PREMIUM", "LUXURY", "UNKNOWN"]),
         (
             "accepted_values",
             "departure_time_of_day",
-            "MORNING AFTERNOON EVENING NIGHT UNKNOWN".split(),
+            ["MORNING", "AFTERNOON", "EVENING", "NIGHT", "UNKNOWN"],
         ),
-        ("accepted_values", "airline_region", "US_MAJOR EUROPEAN MIDDLE_EAST ASIAN OTHER".split()),
+        ("accepted_values", "airline_region", ["US_MAJOR", "EUROPEAN", "MIDDLE_EAST", "ASIAN", "OTHER"]),
     ],
     "standardize_sightings": [
         ("unique", "sighting_id"),
@@ -109,7 +112,7 @@ CHECKS = {
         (
             "accepted_values",
             "city_activity_level",
-            [f"{x} ACTIVITY" for x in ("VERY HIGH", "HIGH", "MEDIUM", "LOW", "MINIMAL")],
+            V.CITY_ACTIVITY_LABELS,
         ),
     ],
     "flight_volume": [
@@ -146,12 +149,12 @@ CHECKS = {
         (
             "accepted_values",
             "suspicion_level",
-            [f"{x}_SUSPICION" for x in ("HIGH", "MODERATE", "LOW", "MINIMAL")],
+            V.SUSPICION_LABELS,
         ),
         (
             "accepted_values",
             "evidence_strength",
-            [f"{x}_EVIDENCE" for x in ("STRONG", "MODERATE", "WEAK", "NO")],
+            V.EVIDENCE_LABELS,
         ),
     ],
     "weather_safety": [
@@ -159,7 +162,10 @@ CHECKS = {
         (
             "accepted_values",
             "analysis_type",
-            "weather_severity temporal_trends aircraft_vulnerability geographic_risk".split(),
+            [
+                "weather_severity", "temporal_trends", "aircraft_vulnerability",
+                "geographic_risk",
+            ],
         ),
         ("expression_is_true", "crash_count", ">= 0"),
         ("expression_is_true", "risk_score", ">= 0"),

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from sightline.functions import aggregates as A
 from sightline.functions import columns as X
 from sightline.functions import fixed_values as V
+from sightline.operators.ranking import repeat_rows
 from sightline.operators.joins import bucket_join, day_join, match_keys, nearby_events, with_group_stats
 
 PLACE = ["country_standardized", "state_clean", "city_clean"]
 
 
 def region_of(country: Column, state: Column) -> Column:
-    states = {region: codes.split() for region, codes in V.STATE_REGIONS.items()}
     return F.when(
-        country == "UNITED STATES", X.by_members(state, states, V.STATE_REGION_ELSE)
+        country == "UNITED STATES", X.by_members(state, V.STATE_REGIONS, V.STATE_REGION_ELSE)
     ).otherwise(X.by_members(country, V.COUNTRY_REGIONS, V.COUNTRY_REGION_ELSE))
 
 
@@ -173,13 +173,14 @@ def proximity_correlation(
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
     features = aircraft_features(F.col("ufo_shape"), F.col("ufo_duration"), F.col("ufo_comments"))
     same_days = F.col("closest_same_days")
+    high, moderate, low, minimal = V.SUSPICION_LABELS
     suspicion = X.ladder(
         [
-            ((F.col("crashes_within_week") > 0) & F.col("has_aircraft_like_features"), "HIGH"),
-            ((F.col("crashes_within_month") > 0) & (F.col("crashes_same_country") > 0), "MODERATE"),
-            (F.col("closest_crash_days") <= 90, "LOW"),
+            ((F.col("crashes_within_week") > 0) & F.col("has_aircraft_like_features"), high),
+            ((F.col("crashes_within_month") > 0) & (F.col("crashes_same_country") > 0), moderate),
+            (F.col("closest_crash_days") <= 90, low),
         ],
-        "MINIMAL",
+        minimal,
     )
     return (
         found.select(
@@ -199,7 +200,7 @@ def proximity_correlation(
             features.alias("has_aircraft_like_features"),
             media_name(F.col("media")).alias("max_media_attention"),
         )
-        .withColumn("false_positive_likelihood", F.concat(suspicion, F.lit("_SUSPICION")))
+        .withColumn("false_positive_likelihood", suspicion)
     )
 
 
@@ -275,15 +276,16 @@ def weather_profiles(weather: DataFrame, columns: list[str], rows: str) -> DataF
     )
 
 
-CRASH_BLOCK = (
-    "crash_date crash_year crash_month crash_location crash_country airline_operator aircraft_type "
-    "aircraft_manufacturer operator_type people_aboard total_fatalities survivors "
-    "fatality_rate_percent casualty_severity aviation_era crash_summary"
-).split()
-WEATHER_BLOCK = (
-    "weather_summary weather_category weather_severity weather_risk_score visibility_category "
-    "wind_category"
-).split()
+CRASH_BLOCK = [
+    "crash_date", "crash_year", "crash_month", "crash_location", "crash_country",
+    "airline_operator", "aircraft_type", "aircraft_manufacturer", "operator_type",
+    "people_aboard", "total_fatalities", "survivors", "fatality_rate_percent",
+    "casualty_severity", "aviation_era", "crash_summary",
+]
+WEATHER_BLOCK = [
+    "weather_summary", "weather_category", "weather_severity", "weather_risk_score",
+    "visibility_category", "wind_category",
+]
 
 
 def weather_incident_analysis(
@@ -323,14 +325,13 @@ def weather_incident_analysis(
     )
     if not expand:
         return out
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("weather_rows")))
-    return out.withColumn("__copy", copies).drop("__copy", "weather_rows")
+    return repeat_rows(out, "weather_rows")
 
 
-FLIGHT_KEYS = (
-    "departure_hour departure_time_of_day departure_city arrival_city flight_route airline_name "
-    "airline_region stop_category flight_duration_category"
-).split()
+FLIGHT_KEYS = [
+    "departure_hour", "departure_time_of_day", "departure_city", "arrival_city", "flight_route",
+    "airline_name", "airline_region", "stop_category", "flight_duration_category",
+]
 
 
 def flight_volume(flights: DataFrame) -> DataFrame:

@@ -9,8 +9,7 @@ from sightline.functions import aggregates as A
 from sightline.functions import columns as X
 from sightline.functions import fixed_values as V
 from sightline.operators.joins import with_share_of
-from sightline.operators.profiles import multi_grain, union_tagged
-from sightline.sources.tables import durable
+from sightline.operators.profiles import at_grains, union_tagged
 
 DAYTIMES = ["MORNING", "AFTERNOON", "EVENING", "NIGHT"]
 HAULS = [label for _, label in V.DURATION_BANDS] + [V.DURATION_ABOVE]
@@ -105,37 +104,59 @@ def flight_cube(flights: DataFrame) -> DataFrame:
 
 
 def traffic_profile(flights: DataFrame) -> DataFrame:
-    """Measures by hour, by airline and overall: one scan, one written table of groups."""
+    """Measures by hour, by airline and overall, as roll-ups of one cube.
+
+    Distinct routes, cities and airlines are counted over the distinct keys of the cube.
+    """
     n = F.col("n")
-    hour = {c: F.col(c) for c in ("departure_hour", "departure_time_of_day")}
-    airline = {c: F.col(c) for c in ("airline_name", "airline_region")}
+    grains = {
+        "hour": {c: F.col(c) for c in ("departure_hour", "departure_time_of_day")},
+        "airline": {c: F.col(c) for c in ("airline_name", "airline_region")},
+        "all": {},
+    }
+    where = {"hour": F.col("departure_hour").isNotNull()}
     cube = flight_cube(flights)
-    return durable(
-        multi_grain(
-            cube.withColumns({f"by_{c}": F.col(c) for c in [*hour, *airline]}),
-            "grain",
-            {"hour": hour, "airline": airline, "all": {}},
-            [
-                F.sum(n).alias("flights"),
-                F.count_distinct("by_airline_name").alias("airlines"),
-                F.count_distinct("flight_route").alias("routes"),
-                F.count_distinct("departure_city").alias("from_cities"),
-                F.count_distinct("arrival_city").alias("to_cities"),
-                A.ratio(F.sum("duration_sum"), F.sum("duration_n")).alias("avg_duration"),
-                A.ratio(F.sum("stops_sum"), F.sum(n)).alias("avg_stops"),
-                F.sum("nonstop").alias("nonstop"),
-                *[
-                    A.sum_where(F.col("by_departure_time_of_day") == d, n).alias(d.lower())
-                    for d in DAYTIMES
-                ],
-                *[
-                    A.sum_where(F.col("by_airline_region") == r, n).alias(r.lower())
-                    for r in ("US_MAJOR", "EUROPEAN", "ASIAN")
-                ],
-                *[F.sum(h.lower()).alias(h.lower()) for h in HAULS],
-            ],
-            where={"hour": F.col("departure_hour").isNotNull()},
-        )
+    sums = ["n", "duration_sum", "duration_n", "stops_sum", "nonstop", *[h.lower() for h in HAULS]]
+    core = at_grains(
+        cube.groupBy("departure_hour", "departure_time_of_day", "airline_name", "airline_region").agg(
+            *[F.sum(c).alias(c) for c in sums]
+        ),
+        "grain",
+        grains,
+        where,
+    )
+    measures = core.groupBy("g").agg(
+        F.sum(n).alias("flights"),
+        A.ratio(F.sum("duration_sum"), F.sum("duration_n")).alias("avg_duration"),
+        A.ratio(F.sum("stops_sum"), F.sum(n)).alias("avg_stops"),
+        F.sum("nonstop").alias("nonstop"),
+        *[A.sum_where(F.col("departure_time_of_day") == d, n).alias(d.lower()) for d in DAYTIMES],
+        *[
+            A.sum_where(F.col("airline_region") == r, n).alias(r.lower())
+            for r in ("US_MAJOR", "EUROPEAN", "ASIAN")
+        ],
+        *[F.sum(h.lower()).alias(h.lower()) for h in HAULS],
+    )
+    names = {
+        "airlines": "airline_name",
+        "routes": "flight_route",
+        "from_cities": "departure_city",
+        "to_cities": "arrival_city",
+    }
+    spread = at_grains(cube, "grain", grains, where)
+    # One row per group, kind of name and name; a name counts once however often it occurs.
+    listed = spread.select(
+        "g",
+        F.inline(
+            F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("name")) for k, c in names.items()])
+        ),
+    )
+    listed = listed.filter(F.col("name").isNotNull()).distinct().groupBy("g")
+    counted = listed.agg(*[A.count_where(F.col("kind") == k).alias(k) for k in names])
+    return (
+        measures.join(counted, "g", "left").fillna(0, list(names)).select("g.*", *[
+            c for c in [*measures.columns, *names] if c != "g"
+        ])
     )
 
 

@@ -13,7 +13,7 @@ from sightline.operators.profiles import at_grains, grouped_mode, kpi_rows, unio
 from sightline.operators.ranking import global_row_number, top_k
 from sightline.plans.enrichment import weather_attribution, weather_mentioned, weather_profiles
 
-SUSPICIOUS = ["HIGH_SUSPICION", "MODERATE_SUSPICION"]
+SUSPICIOUS = V.SUSPICION_LABELS[:2]
 
 
 def crashes_by_day(
@@ -67,13 +67,11 @@ def _evidence(strong, week, month, otherwise, weak=None) -> Column:
 
 def suspicious_cases(correlation: DataFrame) -> DataFrame:
     """Likely false positives with the strength of the evidence and a sentence about it."""
+    strong, moderate, weak, none = V.EVIDENCE_LABELS
     told = lambda text: F.concat(F.lit(text[0]), F.col("closest_crash_days"), F.lit(text[1]))
     return correlation.filter(F.col("false_positive_likelihood").isin(SUSPICIOUS)).withColumns(
         {
-            "debunking_evidence_strength": F.concat(
-                _evidence("STRONG", "MODERATE", "MODERATE", "NO", weak="WEAK"),
-                F.lit("_EVIDENCE"),
-            ),
+            "debunking_evidence_strength": _evidence(strong, moderate, moderate, none, weak),
             "potential_explanation": _evidence(
                 told(V.CASE_STRONG), told(V.CASE_WEEK), told(V.CASE_MONTH), V.CASE_ELSE
             ),
@@ -215,7 +213,7 @@ def debunking_analysis(correlation: DataFrame) -> DataFrame:
 
 def debunking_simple(correlation: DataFrame) -> DataFrame:
     return correlation.filter(
-        F.col("false_positive_likelihood").isin(*SUSPICIOUS, "LOW_SUSPICION")
+        F.col("false_positive_likelihood").isin(V.SUSPICION_LABELS[:3])
     ).select(
         "sighting_id",
         "sighting_date",
@@ -256,10 +254,10 @@ def weather_outcomes(crashes: DataFrame, weather: DataFrame) -> DataFrame:
     those sums are joined, weighted by each other's rows, instead of every crash with every
     observation of its day.
     """
-    dims = (
-        "crash_year crash_month aviation_era aircraft_manufacturer aircraft_type operator_type "
-        "crash_country"
-    ).split()
+    dims = [
+        "crash_year", "crash_month", "aviation_era", "aircraft_manufacturer", "aircraft_type",
+        "operator_type", "crash_country",
+    ]
     named = lambda *names: {n: F.col(f"_{n}") for n in names}
     known = crashes.filter(
         (F.col("crash_year") >= V.WEATHER_FIRST_YEAR) & F.col("crash_date").isNotNull()
@@ -295,8 +293,10 @@ def weather_outcomes(crashes: DataFrame, weather: DataFrame) -> DataFrame:
     )
     looks = weather_profiles(
         weather,
-        "weather_category weather_severity weather_risk_score adverse_weather poor_visibility "
-        "high_winds".split(),
+        [
+            "weather_category", "weather_severity", "weather_risk_score", "adverse_weather",
+            "poor_visibility", "high_winds",
+        ],
         "w",
     )
     met = grouped.join(looks, F.col("crash_date") == F.col("observation_date")).withColumn(
@@ -347,7 +347,10 @@ def weather_safety(crashes: DataFrame, weather: DataFrame) -> DataFrame:
         .agg(
             *[
                 F.sum(c).alias(c)
-                for c in "n dead rate_sum rate_n risk_sum explicit caused adverse".split()
+                for c in [
+                    "n", "dead", "rate_sum", "rate_n", "risk_sum", "explicit", "caused",
+                    "adverse",
+                ]
             ],
             usual.alias("usual_weather"),
         )
@@ -532,16 +535,15 @@ def regional_correlation(debunking: DataFrame, safety: DataFrame) -> DataFrame:
         "region",
     )
     crashes = F.col("total_aviation_crashes")
+    high, moderate, low = V.REGION_ACTIVITY_LABELS
     level_name = X.ladder(
         [
-            ((F.col("high_suspicion_ufos") > 5) & (crashes > 20), "HIGH"),
-            ((F.col("suspicious_ufo_cases") > 10) & (crashes > 10), "MODERATE"),
+            ((F.col("high_suspicion_ufos") > 5) & (crashes > 20), high),
+            ((F.col("suspicious_ufo_cases") > 10) & (crashes > 10), moderate),
         ],
-        "LOW",
-    )
-    return regions.withColumn(
-        "regional_activity_level", F.concat(level_name, F.lit("_ACTIVITY_REGION"))
+        low,
     )
+    return regions.withColumn("regional_activity_level", level_name)
 
 
 def comprehensive_summary(
@@ -580,7 +582,7 @@ def comprehensive_simple(
 ) -> DataFrame:
     """Nine counts with fixed names; one aggregate pass per input."""
     names = ["analysis_area", "metric_name", "description", "metric_value"]
-    active = F.col("city_activity_level").isin("VERY HIGH ACTIVITY", "HIGH ACTIVITY")
+    active = F.col("city_activity_level").isin(V.CITY_ACTIVITY_LABELS[:2])
     likely, kind = F.col("false_positive_likelihood"), F.col("analysis_type")
     parts = [
         (

@@ -1,4 +1,4 @@
-"""Sighting summaries. They share one pre-aggregate, `sighting_cube`, and one scan per report."""
+"""Sighting summaries. They are roll-ups of one pre-aggregate, `sighting_cube`."""
 
 from __future__ import annotations
 
@@ -15,32 +15,39 @@ from sightline.operators.profiles import (
     null_safe_join,
     union_tagged,
 )
-from sightline.operators.ranking import add_rank, global_row_number, top_k
-from sightline.sources.tables import durable
+from sightline.operators.ranking import global_row_number, ranked_top_k
 
-CUBE_KEYS = ["country", "region", "state", "city", "shape", "year", "month", "duration"]
+CUBE_KEYS = {
+    "country": "country_standardized",
+    "region": "region",
+    "state": "state_clean",
+    "city": "city_clean",
+    "shape": "shape_clean",
+    "year": "sighting_year",
+    "month": "sighting_month",
+}
+PERIOD_COUNTS = ["total_sightings", "unique_cities", "unique_states", "sightings_with_coordinates"]
+DURATION_COUNTS = [*V.MONTH_DURATIONS, V.MONTH_DURATION_ABOVE]
 
 
 def sighting_cube(enriched: DataFrame) -> DataFrame:
-    """Dated sightings counted by place, shape, month and duration, with additive measures.
+    """Dated sightings counted by place, shape and month, with additive measures of the rest.
 
-    Never more rows than the input, usually far fewer; every summary below is a roll-up of it.
+    Durations are summed here; medians come from `duration_counts`. Nothing is computed or
+    stored before the summaries that are built on it are.
     """
-    lat, lon = F.col("latitude_clean"), F.col("longitude_clean")
-    return durable(
+    lat, lon, seconds = F.col("latitude_clean"), F.col("longitude_clean"), F.col("duration_seconds_clean")
+    label = X.upto(seconds, V.SIGHTING_BANDS, V.SIGHTING_ABOVE, "UNKNOWN")
+    bands = zip(DURATION_COUNTS, [*[b for _, b in V.SIGHTING_BANDS], V.SIGHTING_ABOVE])
+    return (
         enriched.filter("has_valid_datetime")
-        .groupBy(
-            F.col("country_standardized").alias("country"),
-            "region",
-            F.col("state_clean").alias("state"),
-            F.col("city_clean").alias("city"),
-            F.col("shape_clean").alias("shape"),
-            F.col("sighting_year").alias("year"),
-            F.col("sighting_month").alias("month"),
-            F.col("duration_seconds_clean").alias("duration"),
-        )
+        .groupBy(*[F.col(c).alias(name) for name, c in CUBE_KEYS.items()])
         .agg(
             F.count("*").alias("n"),
+            F.sum(seconds).alias("duration_sum"),
+            F.count(seconds).alias("duration_n"),
+            F.max(seconds).alias("duration_max"),
+            *[A.count_where(label == band).alias(name) for name, band in bands],
             A.count_where(F.col("has_valid_coordinates")).alias("with_coordinates"),
             F.count("comments_clean").alias("with_comments"),
             F.sum(lat).alias("lat_sum"),
@@ -53,16 +60,23 @@ def sighting_cube(enriched: DataFrame) -> DataFrame:
     )
 
 
+def duration_counts(enriched: DataFrame, keys: list[str]) -> DataFrame:
+    """How often each duration occurs by the given keys of the cube."""
+    timed = enriched.filter(F.col("has_valid_datetime") & F.col("duration_seconds_clean").isNotNull())
+    return timed.groupBy(
+        *[F.col(CUBE_KEYS[k]).alias(k) for k in keys], F.col("duration_seconds_clean").alias("duration")
+    ).agg(F.count("*").alias("n"))
+
+
 def _core() -> dict[str, Column]:
     """Measures every roll-up of the cube can give."""
-    timed = F.when(F.col("duration").isNotNull(), F.col("n"))
     total = F.sum("n")
     return {
         "total_sightings": total,
         "first_date": F.min("first_date"),
         "last_date": F.max("last_date"),
-        "avg_duration_seconds": A.ratio(F.sum(F.col("duration") * F.col("n")), F.sum(timed)),
-        "max_duration_seconds": F.max("duration"),
+        "avg_duration_seconds": A.ratio(F.sum("duration_sum"), F.sum("duration_n")),
+        "max_duration_seconds": F.max("duration_max"),
         "avg_latitude": A.ratio(F.sum("lat_sum"), F.sum("lat_n")),
         "avg_longitude": A.ratio(F.sum("lon_sum"), F.sum("lon_n")),
         "sightings_with_coordinates": F.sum("with_coordinates"),
@@ -72,6 +86,18 @@ def _core() -> dict[str, Column]:
     }
 
 
+def _totals() -> list[Column]:
+    """Further roll-up of the cube that keeps its measures."""
+    sums = ["n", "duration_sum", "duration_n", "with_coordinates", "with_comments"]
+    sums += ["lat_sum", "lat_n", "lon_sum", "lon_n"]
+    return [
+        *[F.sum(c).alias(c) for c in sums],
+        F.max("duration_max").alias("duration_max"),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
+    ]
+
+
 def _pick(names: list[str]) -> list[Column]:
     core = _core()
     return [core[n].alias(n) for n in names]
@@ -95,14 +121,23 @@ def recency(as_of: str) -> Column:
 def dashboard_summary(enriched: DataFrame, as_of: str, cube: DataFrame | None = None) -> DataFrame:
     """Indicators overall, by country and by recency, from one pass over the cube."""
     cube = sighting_cube(enriched) if cube is None else cube
-    rows = at_grains(
-        cube,
-        "metric_type",
-        {
-            "overall": {},
-            "by_country": {"country": F.col("country"), "region": F.col("region")},
-            "recent_trends": {"time_period": recency(as_of)},
-        },
+    grains = {
+        "overall": {},
+        "by_country": {"country": F.col("country"), "region": F.col("region")},
+        "recent_trends": {"time_period": recency(as_of)},
+    }
+    years = cube.groupBy("country", "region", "state", "city", "year").agg(*_totals())
+    rows = at_grains(years, "metric_type", grains)
+    shape_rows = cube.groupBy("country", "region", "shape", "year").agg(F.sum("n").alias("n"))
+    shape_rows = at_grains(shape_rows, "metric_type", grains)
+    timed = at_grains(duration_counts(enriched, ["country", "region", "year"]), "metric_type", grains)
+    everything = cube.sparkSession.range(1).select(
+        F.struct(
+            *[
+                F.lit("overall" if f.name == "metric_type" else None).cast(f.dataType).alias(f.name)
+                for f in rows.schema["g"].dataType.fields
+            ]
+        ).alias("g")
     )
     by_country = F.col("g.metric_type") == "by_country"
     trends = F.col("metric_type") == "recent_trends"
@@ -112,14 +147,15 @@ def dashboard_summary(enriched: DataFrame, as_of: str, cube: DataFrame | None =
     )
     core = rows.groupBy("g").agg(
         *_pick(
-            "total_sightings first_date last_date avg_duration_seconds max_duration_seconds "
-            "sightings_with_coordinates pct_with_coordinates sightings_with_comments "
-            "pct_with_comments".split()
+            [
+                "total_sightings", "first_date", "last_date", "avg_duration_seconds",
+                "max_duration_seconds", "sightings_with_coordinates", "pct_with_coordinates",
+                "sightings_with_comments", "pct_with_comments",
+            ]
         ),
         F.count_distinct("country").alias("unique_countries"),
         F.count_distinct(local(place[1], place[:2])).alias("unique_states"),
         F.count_distinct(local(place[2], place)).alias("unique_cities"),
-        F.count_distinct("shape").alias("unique_shapes"),
         *[
             F.sum(F.when(_since(as_of, y), F.col("n")).otherwise(0)).alias(name)
             for y, name in (
@@ -129,9 +165,17 @@ def dashboard_summary(enriched: DataFrame, as_of: str, cube: DataFrame | None =
             )
         ],
     )
-    shapes = grouped_mode(rows, ["g"], "shape", F.col("n"), "most_common_shape")
-    medians = grouped_median(rows, ["g"], "duration", F.col("n"), "median_duration_seconds")
-    full = core.join(shapes, "g", "left").join(medians, "g", "left").select("g.*", "*")
+    # The overall row is there even if no sighting is.
+    core = core.unionByName(
+        everything.join(core.select("g"), "g", "left_anti"), allowMissingColumns=True
+    )
+    counts = [c for c in core.columns if c.startswith(("unique_", "total_", "sightings_"))]
+    core = core.fillna(0, counts)
+    shapes = grouped_mode(shape_rows, ["g"], "shape", F.col("n"), "most_common_shape")
+    kinds = shape_rows.groupBy("g").agg(F.count_distinct("shape").alias("unique_shapes"))
+    medians = grouped_median(timed, ["g"], "duration", F.col("n"), "median_duration_seconds")
+    full = core.join(shapes, "g", "left").join(kinds, "g", "left").join(medians, "g", "left")
+    full = full.fillna(0, ["unique_shapes"]).select("g.*", "*")
     years = F.when(~trends, A.years_between(F.col("first_date"), F.col("last_date")))
     total = F.col("total_sightings")
     return full.withColumn("years_of_data", years).select(
@@ -165,26 +209,30 @@ def dashboard_summary(enriched: DataFrame, as_of: str, cube: DataFrame | None =
     )
 
 
-PERIOD_COUNTS = ["total_sightings", "unique_cities", "unique_states", "sightings_with_coordinates"]
-DURATION_COUNTS = [*V.MONTH_DURATIONS, V.MONTH_DURATION_ABOVE]
-
-
-def monthly_counts(cube: DataFrame) -> DataFrame:
+def monthly_counts(enriched: DataFrame, cube: DataFrame) -> DataFrame:
     keys = ["country", "region", "year", "month"]
-    n, label = F.col("n"), X.upto(F.col("duration"), V.SIGHTING_BANDS, V.SIGHTING_ABOVE, "UNKNOWN")
-    bands = zip(DURATION_COUNTS, [*[b for _, b in V.SIGHTING_BANDS], V.SIGHTING_ABOVE])
+    n = F.col("n")
     core = cube.groupBy(*keys).agg(
         *_pick(
-            "total_sightings sightings_with_coordinates avg_duration_seconds max_duration_seconds "
-            "pct_with_coordinates pct_with_comments avg_latitude avg_longitude".split()
+            [
+                "total_sightings", "sightings_with_coordinates", "avg_duration_seconds",
+                "max_duration_seconds", "pct_with_coordinates", "pct_with_comments",
+                "avg_latitude", "avg_longitude",
+            ]
         ),
+        *[A.sum_where(F.col("shape") == s, n).alias(name) for name, s in V.MONTH_SHAPES.items()],
+        *[F.sum(c).alias(c) for c in DURATION_COUNTS],
+    )
+    places = cube.select(*keys, "state", "city").distinct()
+    named = places.groupBy(*keys).agg(
         F.count_distinct("city").alias("unique_cities"),
         F.count_distinct("state").alias("unique_states"),
-        *[A.sum_where(F.col("shape") == s, n).alias(name) for name, s in V.MONTH_SHAPES.items()],
-        *[A.sum_where(label == band, n).alias(name) for name, band in bands],
     )
-    medians = grouped_median(cube, keys, "duration", n, "median_duration_seconds")
-    return null_safe_join(core, medians, keys, "left").withColumn(
+    medians = grouped_median(
+        duration_counts(enriched, keys), keys, "duration", n, "median_duration_seconds"
+    )
+    out = null_safe_join(core, named, keys, "left")
+    return null_safe_join(out, medians, keys, "left").withColumn(
         "period_date", F.make_date("year", "month", F.lit(1)).cast("timestamp_ntz")
     )
 
@@ -212,7 +260,7 @@ def yearly_counts(monthly: DataFrame) -> DataFrame:
 def by_country_time(enriched: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """Monthly and yearly counts by country and region."""
     cube = sighting_cube(enriched) if cube is None else cube
-    monthly = durable(monthly_counts(cube))
+    monthly = monthly_counts(enriched, cube)
     kinds = {
         "country": "string",
         "region": "string",
@@ -230,36 +278,42 @@ def by_country_time(enriched: DataFrame, cube: DataFrame | None = None) -> DataF
     )
 
 
-def location_profiles(cube: DataFrame, as_of: str) -> DataFrame:
-    """Country, state and city profiles from one pass, written once for the three rankings."""
+def location_profiles(enriched: DataFrame, cube: DataFrame, as_of: str) -> DataFrame:
+    """Country, state and city profiles, for the three rankings."""
     c = {k: F.col(k) for k in ("country", "region", "state", "city")}
     grains = {
         "country": {k: c[k] for k in ("country", "region")},
         "state": {k: c[k] for k in ("country", "region", "state")},
         "city": c,
     }
-    rows = at_grains(cube, "location_type", grains)
+    recent = F.sum(F.when(_since(as_of, 5), F.col("n")).otherwise(0)).alias("recent")
+    rows = at_grains(cube.groupBy(*c).agg(*_totals(), recent), "location_type", grains)
     core = rows.groupBy("g").agg(
         *_pick(
-            "total_sightings first_date last_date avg_duration_seconds avg_latitude avg_longitude "
-            "sightings_with_coordinates pct_with_coordinates".split()
+            [
+                "total_sightings", "first_date", "last_date", "avg_duration_seconds",
+                "avg_latitude", "avg_longitude", "sightings_with_coordinates",
+                "pct_with_coordinates",
+            ]
         ),
         F.count_distinct("state").alias("unique_states"),
         F.count_distinct("city").alias("unique_cities"),
-        F.sum(F.when(_since(as_of, 5), F.col("n")).otherwise(0)).alias("recent_sightings"),
+        F.sum("recent").alias("recent_sightings"),
     )
-    shapes = grouped_mode(rows, ["g"], "shape", F.col("n"), "most_common_shape")
-    medians = grouped_median(rows, ["g"], "duration", F.col("n"), "median_duration_seconds")
+    shape_rows = at_grains(
+        cube.groupBy(*c, "shape").agg(F.sum("n").alias("n")), "location_type", grains
+    )
+    shapes = grouped_mode(shape_rows, ["g"], "shape", F.col("n"), "most_common_shape")
+    timed = at_grains(duration_counts(enriched, list(c)), "location_type", grains)
+    medians = grouped_median(timed, ["g"], "duration", F.col("n"), "median_duration_seconds")
     joined = core.join(shapes, "g", "left").join(medians, "g", "left")
-    return durable(
-        joined.select("g.*", *[x for x in joined.columns if x != "g"]).withColumnsRenamed(
-            {
-                "first_date": "first_sighting_date",
-                "last_date": "last_sighting_date",
-                "avg_latitude": "center_latitude",
-                "avg_longitude": "center_longitude",
-            }
-        )
+    return joined.select("g.*", *[x for x in joined.columns if x != "g"]).withColumnsRenamed(
+        {
+            "first_date": "first_sighting_date",
+            "last_date": "last_sighting_date",
+            "avg_latitude": "center_latitude",
+            "avg_longitude": "center_longitude",
+        }
     )
 
 
@@ -276,7 +330,8 @@ def top_locations(
     place in its own country is itself in the top k, so the ranks within country and state
     are taken among the k rows only.
     """
-    profiles = location_profiles(sighting_cube(enriched) if cube is None else cube, as_of)
+    cube = sighting_cube(enriched) if cube is None else cube
+    profiles = location_profiles(enriched, cube, as_of)
     level = lambda name: profiles.filter(F.col("location_type") == name).drop(
         "location_type"
     )
@@ -298,11 +353,15 @@ def top_locations(
         "global_rank",
         unique=True,
     )
-    by_state = add_rank(top_k(level("state"), order, states), "global_rank", order)
-    by_state = add_rank(by_state, "country_rank", order, ["country"])
-    by_city = add_rank(top_k(level("city"), order, cities), "global_rank", order)
-    by_city = add_rank(by_city, "country_rank", order, ["country"])
-    by_city = add_rank(by_city, "state_rank", order, ["country", "state"]).drop("unique_cities")
+    by_state = ranked_top_k(
+        level("state"), order, states, {"global_rank": [], "country_rank": ["country"]}
+    )
+    by_city = ranked_top_k(
+        level("city"),
+        order,
+        cities,
+        {"global_rank": [], "country_rank": ["country"], "state_rank": ["country", "state"]},
+    ).drop("unique_cities")
     kinds = {
         **{c: "string" for c in ("country", "region", "state", "city")},
         **{c: "long" for c in ("total_sightings", "sub_locations", "unique_cities")},

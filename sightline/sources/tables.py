@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sightline.sources.schemas import SCHEMAS
 
@@ -17,8 +18,15 @@ def read_source(
     """Scan a raw table from `<root>/<name>`; `null_tokens` are texts that mean null."""
     schema = SCHEMAS[name]
     if fmt == "csv":
-        options = {"header": "true", **options}
-    df = spark.read.format(fmt).schema(schema).options(**options).load(f"{root}/{name}")
+        # Columns are found by their names in the header, not by position.
+        options = {"header": "true", "enforceSchema": "false", **options}
+        names = spark.read.format(fmt).options(**options).load(f"{root}/{name}").columns
+        kinds = {f.name: f for f in StructType.fromDDL(schema).fields}
+        in_file = StructType([kinds.get(n, StructField(n, StringType())) for n in names])
+        df = spark.read.format(fmt).schema(in_file).options(**options).load(f"{root}/{name}")
+        df = df.select(*kinds)
+    else:
+        df = spark.read.format(fmt).schema(schema).options(**options).load(f"{root}/{name}")
     tokens = list(null_tokens)
     if not tokens:
         return df
@@ -30,25 +38,26 @@ def read_source(
     )
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores, such as one small file, over the cores.
-
-    A scan with enough splits, which is any large table, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
 
 
+def _refuse_own_input(df: DataFrame, path: str) -> None:
+    bare = lambda p: "/" + p.split(":", 1)[-1].strip("/")
+    if any(f"{bare(f)}/".startswith(f"{bare(path)}/") for f in df.inputFiles()):
+        raise ValueError(f"{path} would be overwritten while it is read")
+
+
 def write_table(
     df: DataFrame, root: str, layer: str, name: str, partition_by=None, mode: str = "overwrite"
 ) -> DataFrame:
-    """Full refresh of `<root>/<layer>/<name>`, read back so that later jobs start from the files."""
+    """Full refresh of `<root>/<layer>/<name>`, read back so that later jobs start from the files.
+
+    A frame that reads the table it would replace is refused; store it under another name.
+    """
     path = f"{root}/{layer}/{name}"
+    _refuse_own_input(df, path)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -65,6 +74,7 @@ def refresh_partitions(
 ) -> DataFrame:
     """Incremental refresh: only the partitions present in `df` are replaced."""
     path = f"{root}/{layer}/{name}"
+    _refuse_own_input(df, path)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

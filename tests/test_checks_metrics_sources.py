@@ -1,4 +1,5 @@
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,10 +144,36 @@ def test_sources_and_sinks(spark, tmp_path, same):
     assert T.sample_table(df, 1, [F.desc("latitude")]).first().country_code == "AD"
 
 
-def test_spread_leaves_large_scans_alone(spark):
-    small, large = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
-    assert T.spread(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert T.spread(large, "id") is large
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    folder = tmp_path / "coordinates"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "country,latitude,longitude,country_code,usa_state_code,usa_state_latitude,"
+        "usa_state_longitude,usa_state\nAndorra,42.5,1.6,AD,AK,63.5,-152.4,Alaska\n"
+    )
+    row = T.read_source(spark, "coordinates", str(tmp_path), "csv").first()
+    assert (row.country_code, row.country, row.latitude) == ("AD", "Andorra", 42.5)
+
+
+def test_a_table_is_not_written_over_itself(spark, tmp_path):
+    root = str(tmp_path)
+    stored = T.write_table(spark.range(5), root, "core", "t")
+    for write in (
+        lambda: T.write_table(stored.filter("id > 1"), root, "core", "t"),
+        lambda: T.refresh_partitions(stored.withColumn("p", F.lit(1)), root, "core", "t", ["p"]),
+    ):
+        with pytest.raises(ValueError):
+            write()
+    assert T.read_table(spark, root, "core", "t").count() == 5
+
+
+def test_stored_tables_need_a_folder():
+    unset = SimpleNamespace(
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+        conf=SimpleNamespace(get=lambda key, default: default),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        T.shared_folder(unset)
 
 
 def test_partition_filter_reaches_the_scan(spark, tmp_path):

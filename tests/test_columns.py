@@ -19,7 +19,7 @@ from sightline.operators.cleaning import coerce_report
         ("2004-04-27 03:04:05", None, datetime(2004, 4, 27, 3, 4, 5), "generic"),
         ("1234567890123", None, datetime(2009, 2, 13, 23, 31, 30), "epoch_millis"),
         ("1234567890", None, datetime(1970, 1, 15, 6, 56, 7), "digits"),
-        ("1e300", "2001-1-6", datetime(2001, 1, 6), "fallback"),
+        ("1e300", "2001-1-6", datetime(2001, 1, 6), "epoch_out_of_range"),
         ("junk", None, None, "none"),
         (None, "2/3/1999", datetime(1999, 2, 3), "fallback"),
         ("2001", None, None, "none"),

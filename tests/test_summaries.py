@@ -150,13 +150,40 @@ def test_thresholds_of_weather_safety(spark, weather):
     assert (severity.crash_count, severity.weather_attributed, severity.risk_score) == (19, 19, 5000.0)
 
 
-def test_summaries_do_not_depend_on_the_median_path(enriched, same, monkeypatch):
-    cube = S.sighting_cube(enriched)
-    want = S.dashboard_summary(enriched, "2001-08-01", cube)
-    want = durable(want)
-    defaults = P.grouped_median.__defaults__
-    monkeypatch.setattr(P.grouped_median, "__defaults__", (20, *defaults[1:]))
-    same(S.dashboard_summary(enriched, "2001-08-01", cube), want)
+def test_dashboard_medians_and_distinct_counts(enriched):
+    rows = S.dashboard_summary(enriched, "2001-08-01").filter("metric_type = 'by_country'").collect()
+    want = enriched.filter("has_valid_datetime").groupBy("country_standardized", "region").agg(
+        F.round(F.median("duration_seconds_clean"), 2).alias("m"),
+        F.count_distinct("city_clean").alias("c"),
+        F.count_distinct("shape_clean").alias("s"),
+    )
+    want = {(r[0], r[1]): (r.m, r.c, r.s) for r in want.collect()}
+    assert len(rows) == len(want)
+    for r in rows:
+        got = (r.median_duration_seconds, r.unique_cities, r.unique_shapes)
+        assert got == want[r.country, r.region]
+
+
+def test_overall_row_without_sightings(enriched):
+    rows = S.dashboard_summary(enriched.limit(0), "2001-08-01").collect()
+    assert [(r.metric_type, r.time_period, r.total_sightings, r.unique_shapes) for r in rows] == [
+        ("overall", "all_time", 0, 0)
+    ]
+
+
+def test_no_fact_row_is_multiplied(enriched, spark):
+    for table in (S.dashboard_summary(enriched, "2001-08-01"), S.top_locations(enriched, "2001-08-01")):
+        plan = table._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        for i, line in enumerate(plan):
+            if line.lstrip(" :+-").startswith(("Expand", "Generate explode")):
+                below = [x for x in plan[i + 1 :]]
+                inner = []
+                for x in below:
+                    if depth(x) <= depth(line):
+                        break
+                    inner.append(x)
+                assert any("Aggregate" in x for x in inner), line
 
 
 def test_recency_moves_with_the_date(enriched):
