@@ -29,7 +29,6 @@ from sightline.plans import incidents as I
 from sightline.plans import sightings as S
 from sightline.plans.checks import CHECKS, quality_report
 from sightline.sources.tables import (
-    date_spine,
     durable,
     read_source,
     read_table,
@@ -37,6 +36,7 @@ from sightline.sources.tables import (
     row_counts,
     sample_table,
     shared_folder,
+    spine_over,
     write_table,
 )
 
@@ -145,17 +145,17 @@ for _source, _doubles in {
 @query(
     "date_spine",
     "select u as sighting_date, count(k.sighting_date) as sightings from (select cast(unnest("
-    "generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as u) "
+    "generate_series((select min(cast(sighting_date as date)) from cleaned), "
+    "(select max(cast(sighting_date as date)) from cleaned), interval 1 day)) as date) as u) "
     "left join (select cast(sighting_date as date) as sighting_date from cleaned) k "
     "on k.sighting_date = u group by u",
 )
 def _(spark, d):
-    days = cleaned(spark, d).groupBy(F.to_date("sighting_date").alias("sighting_date")).agg(
+    table = cleaned(spark, d)
+    days = table.groupBy(F.to_date("sighting_date").alias("sighting_date")).agg(
         F.count("*").alias("n")
     )
-    spine = date_spine(spark, "1995-01-01", "2001-12-31").withColumnRenamed(
-        "date_day", "sighting_date"
-    )
+    spine = spine_over(table, "sighting_date").withColumnRenamed("date_day", "sighting_date")
     return spine.join(days, "sighting_date", "left").select(
         "sighting_date", F.coalesce("n", F.lit(0)).alias("sightings")
     )
@@ -796,12 +796,104 @@ def _(spark, d):
 @query(
     "metric_spine_fill",
     """select u as metric_time, coalesce(n, 0) as total_fatalities_sum from (select cast(unnest(
-      generate_series(date '1994-12-01', date '2001-12-31', interval 1 day)) as date) as u)
+      generate_series((select min(event_date) from crash_days),
+        (select max(event_date) from crash_days), interval 1 day)) as date) as u)
       left join (select event_date, total_fatalities as n from crash_days) on event_date = u""",
 )
 def _(spark, d):
-    spine = date_spine(spark, "1994-12-01", "2001-12-31")
-    return M.metric(crash_days(spark, d), "total_fatalities_sum", grain="day", spine=spine)
+    days = crash_days(spark, d)
+    spine = spine_over(days, "event_date")
+    return M.metric(days, "total_fatalities_sum", grain="day", spine=spine)
+
+
+@query(
+    "metric_spine_fill_by_dimension",
+    """select g.weather_summary, p.metric_time, coalesce(n, 0) as crash_events_sum
+      from (select distinct any_weather_summary as weather_summary from crash_days) g
+      cross join (select distinct cast(date_trunc('month', u) as date) as metric_time from (
+        select unnest(generate_series((select min(event_date) from crash_days),
+          (select max(event_date) from crash_days), interval 1 day)) as u)) p
+      left join (select any_weather_summary as weather_summary,
+        cast(date_trunc('month', event_date) as date) as metric_time,
+        cast(sum(crash_events) as bigint) as n from crash_days group by 1, 2) m
+        on m.weather_summary is not distinct from g.weather_summary
+          and m.metric_time = p.metric_time""",
+)
+def _(spark, d):
+    days = crash_days(spark, d)
+    return M.metric(
+        days,
+        "crash_events_sum",
+        ["weather_summary"],
+        grain="month",
+        spine=spine_over(days, "event_date"),
+    )
+
+
+def _measures_sql(model: str, step: str, by: list[str], doubles: str) -> str:
+    m = M.MODELS[model]
+    whole = "cast(sum({0}) as bigint)"
+    form = {
+        "sum": whole, "average": "avg({0})", "count": "count({0})", "min": "min({0})",
+        "count_distinct": "count(distinct {0})", "max": "max({0})", "median": "median({0})",
+        "sum_boolean": "count(*) filter ({0})",
+    }
+    keys = [f"{ {**m.dimensions, **m.entities}[g]} as {g}" for g in by]
+    parts = []
+    for name, (agg, expression) in m.measures.items():
+        as_double = agg == "sum" and name in doubles.split()
+        parts.append(f"{('sum({0})' if as_double else form[agg]).format(expression)} as {name}")
+    return f"select {', '.join([*keys, *parts])} from {step} group by all"
+
+
+def _cases(spark, d):
+    return I.debunking_analysis(durable(correlation(spark, d)))
+
+
+def _summary(spark, d):
+    facts = durable(enriched(spark, d))
+    cases = durable(I.debunking_analysis(E.proximity_correlation(facts, crashes(spark, d))))
+    return I.comprehensive_summary(cases, durable(safety(spark, d)), facts)
+
+
+def _short_summary(spark, d):
+    facts = durable(enriched(spark, d))
+    linked = E.proximity_correlation(facts, crashes(spark, d))
+    return I.comprehensive_simple(facts, linked, safety(spark, d), AS_OF)
+
+
+for _model, (_step, _by, _build, _doubles) in {
+    "crashes_by_day": ("crash_days", ["weather_summary"], crash_days, "avg_temperature_celsius"),
+    "dashboard_summary": (
+        "dashboard",
+        ["metric_type"],
+        dashboard,
+        "max_duration_seconds avg_duration_seconds pct_with_coordinates pct_with_comments "
+        "avg_sightings_per_year median_duration_seconds",
+    ),
+    "debunking_analysis": (
+        "debunking", ["analysis_type"], _cases, "days_to_incident summary_metric",
+    ),
+    "debunking_simple": (
+        "debunking_short",
+        ["ufo_country"],
+        lambda spark, d: I.debunking_simple(correlation(spark, d)),
+        "",
+    ),
+    "comprehensive_summary": (
+        "comprehensive",
+        ["data_type"],
+        _summary,
+        "metric_value metric_percentage_avg insight_score_avg suspicious_ufo_cases_sum "
+        "total_aviation_crashes_sum avg_weather_risk",
+    ),
+    "comprehensive_simple": ("comprehensive_short", ["analysis_area_label"], _short_summary, ""),
+}.items():
+    query(f"metrics_of_{_model}", _measures_sql(_model, _step, _by, _doubles), _doubles)(
+        lambda spark, d, model=_model, by=_by, build=_build: M.model_metrics(
+            build(spark, d), model, by
+        )
+    )
 
 
 @query(

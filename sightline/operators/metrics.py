@@ -186,17 +186,38 @@ def metric(
         out = measured.groupBy(*names).agg(AGGREGATIONS[agg]("__v").alias(name))
     if spine is None:
         return out
-    if group_by or grain is None:
-        raise ValueError("a spine needs a grain and no other grouping")
+    if grain is None:
+        raise ValueError("a spine needs a grain")
     day = F.col("date_day")
     periods = spine.select((day if grain == "day" else F.trunc(day, grain)).alias("metric_time"))
-    return (
-        periods.distinct()
-        .join(out, "metric_time", "left")
-        .select("metric_time", F.coalesce(F.col(name), F.lit(0)).alias(name))
+    periods = periods.distinct()
+    if group_by:
+        # Every group has every period; the periods, a calendar, are one array.
+        calendar = periods.agg(F.collect_list("metric_time")).scalar()
+        groups = out.select(*group_by).distinct()
+        periods = groups.select(*group_by, F.explode(calendar).alias("metric_time"))
+    return null_safe_join(periods, out, [*group_by, "metric_time"], "left").select(
+        *group_by, "metric_time", F.coalesce(F.col(name), F.lit(0)).alias(name)
     )
 
 
+def model_metrics(table: DataFrame, model: str, group_by: list[str]) -> DataFrame:
+    """All measures of a model side by side: one pass, and one more for each median."""
+    m = MODELS[model]
+    keys = [_grouping(m, g) for g in group_by]
+    values = {n: f"__{n}" for n in m.measures}
+    rows = table.select(*keys, *[F.expr(m.measures[n][1]).alias(v) for n, v in values.items()])
+    plain = {n: agg for n, (agg, _) in m.measures.items() if agg != "median"}
+    out = rows.groupBy(*group_by).agg(
+        *[AGGREGATIONS[agg](values[n]).alias(n) for n, agg in plain.items()]
+    )
+    for n in m.measures:
+        if n not in plain:
+            medians = grouped_median(rows, group_by, values[n], F.lit(1), n)
+            out = null_safe_join(out, medians, group_by, "left")
+    return out.select(*group_by, *m.measures)
+
+
 def metrics_by_entity(entity: str, tables: dict[str, DataFrame]) -> DataFrame:
     """Several metrics side by side per shared entity; each is aggregated before the join.
 

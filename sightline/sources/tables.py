@@ -110,6 +110,12 @@ def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.explode(days).alias("date_day"))
 
 
+def spine_over(df: DataFrame, day: str) -> DataFrame:
+    """One row per day from the first to the last day of a table."""
+    ends = df.agg(F.min(F.to_date(day)).alias("low"), F.max(F.to_date(day)).alias("high"))
+    return ends.select(F.explode(F.sequence("low", "high")).alias("date_day"))
+
+
 def sample_table(df: DataFrame, n: int = 100, order_by: list[Column] | None = None) -> DataFrame:
     """First `n` rows in the given order (per-task top-n, then a merge of n rows)."""
     return df.orderBy(*(order_by or df.columns)).limit(n)

@@ -79,7 +79,13 @@ def test_metric_spine_fills_gaps(spark, days):
     out = M.metric(days, "crash_events_sum", grain="day", spine=spine)
     assert [r[1] for r in out.orderBy("metric_time").collect()] == [2, 0, 4, 0]
     with pytest.raises(ValueError):
-        M.metric(days, "crash_events_sum", ["weather_summary"], "day", spine=spine)
+        M.metric(days, "crash_events_sum", ["weather_summary"], spine=spine)
+    by_weather = M.metric(days, "crash_events_sum", ["weather_summary"], "day", spine=spine)
+    groups = days.select("any_weather_summary").distinct().count()
+    assert by_weather.count() == 4 * groups
+    total = by_weather.groupBy("metric_time").sum("crash_events_sum").orderBy("metric_time").collect()
+    assert [r[1] for r in total] == [2, 0, 4, 0]
+    assert [str(r[0]) for r in T.spine_over(days, "event_date").orderBy("date_day").collect()][:1] == ["2000-01-01"]
 
 
 def test_every_registered_metric_runs(spark):
