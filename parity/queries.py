@@ -401,6 +401,27 @@ def _(spark, d):
     )
 
 
+@query(
+    "pair_labels",
+    """select ufo_country, same_country, same_country and state_clean = crash_place as same_region,
+      case when same_country and days <= 1 then 'VERY_HIGH' when same_country and days <= 7 then 'HIGH'
+        when same_country and days <= 30 then 'MODERATE' when same_country and days <= 90 then 'LOW'
+        else 'VERY_LOW' end as correlation_strength,
+      case when total_fatalities > 100 then 'HIGH_MEDIA' when total_fatalities > 20 then 'MODERATE_MEDIA'
+        when total_fatalities > 0 then 'LOW_MEDIA' else 'MINIMAL_MEDIA' end as media_attention_level,
+      count(*) as pairs
+      from (select u.country_standardized as ufo_country, u.state_clean, c.total_fatalities,
+          split_part(c.crash_location, ',', 1) as crash_place,
+          u.country_standardized = c.crash_country as same_country,
+          abs(datediff('day', c.crash_date, u.sighting_date)) as days
+        from enriched u join crash_listing c on c.listed_as = u.country_standardized
+          and abs(datediff('day', c.crash_date, u.sighting_date)) <= 365)
+      group by all""",
+)
+def _(spark, d):
+    return E.pair_labels(enriched(spark, d), crashes(spark, d))
+
+
 query(
     "proximity_correlation",
     "select * from correlation",

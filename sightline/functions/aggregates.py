@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sightline.functions.columns import ladder
-
 
 def count_where(p: Column) -> Column:
     return F.count_if(p)
@@ -19,25 +17,6 @@ def sum_where(p: Column, v: Column | int, default=0) -> Column:
     return F.sum(picked if default is None else picked.otherwise(F.lit(default)))
 
 
-def avg_where(p: Column, v: Column) -> Column:
-    return F.avg(F.when(p, v))
-
-
-def count_distinct_key(*cols: Column, sep: str = "|") -> Column:
-    parts = [c for pair in [(F.lit(sep), c) for c in cols] for c in pair][1:]
-    return F.count_distinct(F.concat(*parts))
-
-
-def any_det(c: Column) -> Column:
-    return F.min(c)
-
-
-def mode_det(c: Column) -> Column:
-    """Most frequent value, the lowest among equals. For groups with few distinct values;
-    `operators.profiles.grouped_mode` is the form without that bound."""
-    return F.mode(c, True)
-
-
 def weighted_avg(x: Column, w: Column) -> Column:
     return F.sum(x * w) / F.nullif(F.sum(w), F.lit(0))
 
@@ -56,10 +35,6 @@ def pct(num: Column, den: Column, zero: float | None = None, digits: int = 2) ->
     return out if zero is None else F.coalesce(out, F.lit(float(zero)))
 
 
-def max_ordinal(c: Column, scores: dict[str, int], default: int = 0) -> Column:
-    return F.max(ladder([(c == label, score) for label, score in scores.items()], default))
-
-
 def years_between(first: Column, last: Column) -> Column:
     return F.year(last) - F.year(first)
 

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from sightline.functions import aggregates as A
 from sightline.functions import columns as X
 from sightline.functions import fixed_values as V
+from sightline.operators.joins import (
+    bucket_join,
+    day_join,
+    match_keys,
+    nearby_events,
+    proximity_join,
+    with_group_stats,
+)
 from sightline.operators.ranking import repeat_rows
-from sightline.operators.joins import bucket_join, day_join, match_keys, nearby_events, with_group_stats
 
 PLACE = ["country_standardized", "state_clean", "city_clean"]
 
@@ -81,6 +88,51 @@ def correlation_strength(days: Column, same_country: Column) -> Column:
     return X.ladder(steps, V.CORRELATION_LOWEST)
 
 
+def pair_labels(
+    sightings: DataFrame,
+    crashes: DataFrame,
+    max_days: int = V.PROXIMITY_DAYS,
+    alt_matches: dict[str, str] | None = None,
+) -> DataFrame:
+    """How many sighting-crash pairs carry each combination of labels, by sighting country.
+
+    Both sides are counted by place and day before they meet, and a pair of days stands for the
+    product of its counts, so pairs are never spelled out.
+    """
+    place, dead = F.split_part("crash_location", F.lit(","), F.lit(1)), F.col("total_fatalities")
+    seen = sightings.groupBy(
+        "country_standardized", "state_clean", F.to_date("sighting_date").alias("sighting_date")
+    ).agg(F.count("*").alias("sightings"))
+    fallen = (
+        crashes.filter(F.col("crash_year") >= V.PROXIMITY_FIRST_YEAR)
+        .groupBy(
+            "crash_country",
+            place.alias("crash_place"),
+            F.to_date("crash_date").alias("crash_date"),
+            media_attention(dead).alias("media_attention_level"),
+        )
+        .agg(F.count("*").alias("crashes"))
+    )
+    pairs = proximity_join(
+        seen,
+        fallen,
+        "sighting_date",
+        "crash_date",
+        max_days,
+        ("country_standardized", "crash_country"),
+        V.CRASH_COUNTRY_WORDS if alt_matches is None else alt_matches,
+        how="inner",
+    )
+    same = X.flag(F.col("country_standardized") == F.col("crash_country"))
+    return pairs.groupBy(
+        F.col("country_standardized").alias("ufo_country"),
+        same.alias("same_country"),
+        (same & X.flag(F.col("state_clean") == F.col("crash_place"))).alias("same_region"),
+        correlation_strength(F.col("days_difference"), same).alias("correlation_strength"),
+        "media_attention_level",
+    ).agg(F.sum(F.col("sightings") * F.col("crashes")).alias("pairs"))
+
+
 def crash_days(crashes: DataFrame, alt_matches: dict[str, str] | None = None) -> DataFrame:
     """Crashes per (matching country, day): counts, loudest media label, representative crash.
 
