@@ -19,18 +19,24 @@ from sightline.functions import columns as X
 
 
 SALTS = 8
+SALTS_SETTING = "sightline.join.salts"
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, keys: list[str], salts: int = SALTS
+    left: DataFrame, right: DataFrame, keys: list[str], salts: int | None = None
 ) -> DataFrame:
     """Left join to a table with one row per key, safe for hot and null keys.
 
-    Left rows of a key are dealt to `salts` buckets and the right rows are repeated per bucket.
+    Left rows of a key are dealt to `salts` buckets, by a hash of their columns of fixed width if
+    they have any, and the right rows are repeated per bucket. The session setting
+    `sightline.join.salts` raises the number for large clusters.
     The added key also makes Spark shuffle the right side for this join, without which it
     would not split what is still hot (copies of one row all fall into one bucket).
     """
-    dealt = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    salts = salts or int(left.sparkSession.conf.get(SALTS_SETTING, str(SALTS)))
+    narrow = [c for c, kind in left.dtypes if kind not in ("string", "binary") and "<" not in kind]
+    parts = F.xxhash64(*(narrow or left.columns))
+    dealt = left.withColumn("__salt", F.pmod(parts, F.lit(salts)).cast("int"))
     repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(repeated, [*keys, "__salt"], "left").drop("__salt")
 
