@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from statistics import NormalDist
 
 import numpy as np
@@ -55,6 +56,7 @@ def plan_code(n: int, threshold: float = THRESHOLD) -> tuple[int, float]:
     return words, height
 
 
+@lru_cache(4 * CODES)
 def code(dim: int, words: int, which: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Rotation and the two halves of one code, the same in every task."""
     rng = np.random.default_rng([SEED, dim, words, which])
