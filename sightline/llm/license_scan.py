@@ -8,7 +8,8 @@ unit matches if 2 |A and B| / (|A| + |B|) is at least the threshold t.
 Two bounds prune without losing a match. By size, a match needs
 t / (2 - t) |B| <= |A| <= (2 - t) / t |B|. By content, it holds at least t / (2 - t) |B| bigrams
 of B, so it has a word from any set of words that touches more of B's bigrams than may be missing; a
-text or unit without any such anchor word is left after one look at its words.
+text or unit without any such anchor word is left after one look at its words. Templates of `LONG`
+bigrams and more have anchor words of their own, which count only in units long enough for them.
 
 Everything is built-in column expressions over the row, with no join and no shuffle. Null,
 empty and wordless texts match nothing, and neither do units of one word. Equal values are
@@ -29,6 +30,14 @@ from sightline.llm.quality_rules import let
 THRESHOLD = 0.8
 NO_WORD = r"[^\p{L}\p{N}]+"
 PARAGRAPHS = r"\n[ \t\r]*\n"
+LONG = 400
+#: Words that say little; anchors are taken from the others as far as those suffice.
+COMMON = frozenset(
+    "that this with from have your such which will their other under these they them been than "
+    "when where what about into also only more must makes make each does".split()
+)
+#: Keeps equality at the bounds safe from rounding.
+SLACK = 1e-9
 
 
 def bigrams(text: str) -> list[str]:
@@ -50,10 +59,22 @@ def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
         while covered() <= need:
             open_ = [g for g in grams if not any(w in chosen for w in g.split())]
             gain = Counter(w for g in open_ for w in set(g.split()))
-            chosen[max(gain, key=lambda w: (len(w) > 3, gain[w], len(w), w))] = None
+            chosen[max(gain, key=lambda w: (len(w) > 3 and w not in COMMON, gain[w], len(w), w))] = None
     return list(chosen)
 
 
+def _anchored(words: Column, threshold: float) -> Column:
+    """False only if a unit, or a text with all its units, can match no template."""
+    has = lambda chosen: F.arrays_overlap(words, F.array(*map(F.lit, chosen)))
+    sizes = [(len(bigrams(body)), (name, body)) for name, body in TEMPLATES]
+    short = has(anchors([t for n, t in sizes if n < LONG], threshold))
+    long_ = [(n, t) for n, t in sizes if n >= LONG]
+    if not long_:
+        return short
+    least = least_common(min(n for n, _ in long_), threshold)
+    return short | ((F.size(words) > least) & has(anchors([t for _, t in long_], threshold)))
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NO_WORD), lambda w: w != "")
 
@@ -69,7 +90,7 @@ def _matches(words: Column, templates: Column, threshold: float) -> Column:
     def compare(a: Column) -> Column:
         n = F.size(a)
         low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-        fit = F.filter(templates, lambda t: (n >= t["n"] * low) & (n <= t["n"] * high))
+        fit = F.filter(templates, lambda t: (n >= t["n"] * low - SLACK) & (n <= t["n"] * high + SLACK))
         dice = lambda t: (2.0 * F.size(F.array_intersect(a, t["grams"]))) / (n + t["n"])
         scored = F.transform(
             fit, lambda t: F.struct(dice(t).alias("dice"), t["license"].alias("license"))
@@ -77,12 +98,9 @@ def _matches(words: Column, templates: Column, threshold: float) -> Column:
         return F.filter(scored, lambda s: s["dice"] >= threshold)
 
     none = F.array().cast("array<struct<dice: double, license: string>>")
-    anchor = F.array(*map(F.lit, anchors(threshold=threshold)))
     return let(
         words,
-        lambda w: F.when((F.size(w) > 1) & F.arrays_overlap(w, anchor), let(pairs(w), compare)).otherwise(
-            none
-        ),
+        lambda w: F.when((F.size(w) > 1) & _anchored(w, threshold), let(pairs(w), compare)).otherwise(none),
     )
 
 
@@ -99,13 +117,12 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             for name, body in TEMPLATES
         ]
     )
-    anchor = F.array(*map(F.lit, anchors(threshold=threshold)))
     paragraphs, lines = F.split(text, PARAGRAPHS), F.split(text, "\n")
     more = lambda units: F.when(F.size(units) > 1, units).otherwise(F.array().cast("array<string>"))
     units = F.array_distinct(F.concat(F.array(text), more(paragraphs), more(lines)))
     found = F.flatten(F.transform(units, lambda u: _matches(words_of(u), templates, threshold)))
     none = F.array().cast("array<struct<dice: double, license: string>>")
-    hits = F.when(F.arrays_overlap(words_of(text), anchor), found).otherwise(none)
+    hits = let(words_of(text), lambda w: F.when(_anchored(w, threshold), found).otherwise(none))
     top = F.array_max(F.transform(F.col("__hits"), lambda h: h["dice"]))
     names = F.array_sort(F.array_distinct(F.transform(F.col("__hits"), lambda h: h["license"])))
     best = F.array_min(

@@ -1,6 +1,12 @@
-"""Licence texts and notices that documents are compared with. Fixed values."""
+"""Licence texts and notices that documents are compared with. Fixed values.
 
-TEMPLATES: tuple[tuple[str, str], ...] = (
+Whole texts of more than a page are the files of `license_texts`, named by licence. A name that ends
+in `-any-version` is a notice that names a family of licences and no version.
+"""
+
+from pathlib import Path
+
+NOTICES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
@@ -87,4 +93,95 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
         "means.",
     ),
+    ("All-Rights-Reserved", "All rights reserved."),
+    (
+        "CC-BY-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    (
+        "CC-BY-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International "
+        "License.",
+    ),
+    (
+        "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+        "International License.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+        "of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/.",
+    ),
+)
+
+_SOURCE = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+    "in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission. "
+)
+_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+BSD = (("BSD-2-Clause", _SOURCE + _DISCLAIMER), ("BSD-3-Clause", _SOURCE + _NAMES + _DISCLAIMER))
+
+
+def gnu_headers() -> list[tuple[str, str]]:
+    """The header of each GNU licence, whole and by paragraph."""
+    out = {}
+    for family, kind, program, versions in (
+        ("GPL", "GNU General Public License", "program", ("2", "3")),
+        ("LGPL", "GNU Lesser General Public License", "library", ("3",)),
+        ("AGPL", "GNU Affero General Public License", "program", ("3",)),
+    ):
+        for p in dict.fromkeys((program, "program")):
+            hope = (
+                f"This {p} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+                "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+                f"PURPOSE. See the {kind} for more details."
+            )
+            copy = (
+                f"You should have received a copy of the {kind} along with this {p}. If not, see "
+                "<https://www.gnu.org/licenses/>."
+            )
+            post = (
+                f"You should have received a copy of the {kind} along with this {p}; if not, write to "
+                "the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+                "02110-1301 USA."
+            )
+            for v in versions:
+                terms = (
+                    f"This {p} is free software: you can redistribute it and/or modify it under the "
+                    f"terms of the {kind} as published by the Free Software Foundation, either version "
+                    f"{v} of the License, or (at your option) any later version."
+                )
+                only = (
+                    f"This {p} is free software; you can redistribute it and/or modify it under the "
+                    f"terms of the {kind} as published by the Free Software Foundation, version {v}."
+                )
+                for text in (terms, only, *(f"{terms} {hope} {c}" for c in (copy, post))):
+                    out[f"{family}-{v}.0", text] = None
+            for text in (hope, copy, post):
+                out[f"{family}-any-version", text] = None
+    return list(out)
+
+
+WHOLE = tuple(
+    (path.stem, path.read_text(encoding="ascii"))
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
 )
+TEMPLATES: tuple[tuple[str, str], ...] = (*NOTICES, *BSD, *gnu_headers(), *WHOLE)

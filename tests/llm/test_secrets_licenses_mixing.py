@@ -85,6 +85,24 @@ def test_license_texts_and_notices(spark):
     assert license_scan.scan(documents(spark, [])).count() == 0
 
 
+def test_whole_licenses_and_plain_rights(spark):
+    bodies = {n: max((t for m, t in TEMPLATES if m == n), key=len) for n, _ in TEMPLATES}
+    owner = "Copyright (c) 2020, A. Author\n\n"
+    texts = [
+        "some prose\nAll rights reserved.",
+        "All rights reserved worldwide",
+        owner + bodies["BSD-2-Clause"],
+        owner + bodies["BSD-3-Clause"],
+        *(bodies[n] for n in ("GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "Apache-2.0", "MPL-2.0")),
+        bodies["GPL-any-version"],
+    ]
+    rows = {r.doc_id: r for r in license_scan.scan(documents(spark, texts)).collect()}
+    assert [rows[i].license for i in range(len(texts))] == [
+        "All-Rights-Reserved", "All-Rights-Reserved", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0",
+        "AGPL-3.0", "LGPL-3.0", "Apache-2.0", "MPL-2.0", "GPL-any-version",
+    ]
+
+
 def test_anchors_cannot_lose_a_match():
     words = set(license_scan.anchors())
     for _, text in TEMPLATES:
