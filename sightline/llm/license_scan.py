@@ -1,7 +1,9 @@
 """Licence scans: normalised text against licence templates by Dice over word bigrams.
 
-A text is compared as a whole, by paragraphs (blank lines between them) and by lines, so a notice
-inside a document is found as well as a licence file. Units are lower-cased and cut into words at
+A text is compared as a whole, by paragraphs (blank lines between them) and by lines, so a licence
+file is found, and a notice inside a document if it makes up nearly all of a paragraph or line. A
+notice of several lines that shares its paragraph with much other text, or a sentence within a
+much longer line, is not found. Units are lower-cased and cut into words at
 everything but letters and digits. With A and B the sets of word bigrams of unit and template, the
 unit matches if 2 |A and B| / (|A| + |B|) is at least the threshold t.
 
