@@ -11,8 +11,9 @@ documents in one pseudo-random order after the other, each order a permutation o
 (an epoch). A source gives whole epochs as long as its part of the budget lasts and then the
 longest stretch of the next permutation that fits. That stretch is all documents up to one hash
 value, found from sums in 4096 hash ranges and from the one range where the budget ends, so no
-task orders a whole source. The schedule is cut into blocks of `BLOCK_TOKENS` tokens; every
-block has each source in proportion, in hash order.
+task orders a whole source. What a source gives is stretched over the whole schedule, which is cut
+into blocks of about `BLOCK_TOKENS` tokens; every block has each source in proportion, as nearly as
+whole documents allow, in hash order.
 
 Without a budget the smallest one is taken that gives every document at least once. A null
 source is the source named by the empty string, null texts have no tokens. Sources without
@@ -42,7 +43,7 @@ BLOCK_TOKENS = 1_000_000
 class Mix:
     exponent: float
     budget: float
-    sources: DataFrame  # source, tokens, weight, epochs, last_key
+    sources: DataFrame  # source, tokens, weight, quota, epochs, last_key
 
 
 def items(docs: DataFrame) -> DataFrame:
@@ -160,42 +161,69 @@ def plan(
     )
     ends = quotas.join(fits, "source", "left").join(part, "source", "left")
     last = F.when(F.col("rest") > 0, F.greatest("full_key", "part_key"))
-    return Mix(t, whole, durable(ends.select("source", "tokens", "weight", "epochs", last.alias("last_key"))))
+    return Mix(t, whole, durable(ends.select("source", "tokens", "weight", "quota", "epochs", last.alias("last_key"))))
 
 
-def copies(rows: DataFrame, mix: Mix) -> DataFrame:
-    """`rows` (with source and h) and the weight of their source and their number of copies."""
+def _dealt(rows: DataFrame, mix: Mix) -> DataFrame:
     sources = mix.sources.withColumnsRenamed({"source": "__source", "tokens": "source_tokens"})
     tail = F.coalesce(F.xxhash64("h", "epochs") <= F.col("last_key"), F.lit(False)).cast("long")
     return (
         rows.join(sources, F.col("source") == F.col("__source"))
         .withColumn("copies", F.col("epochs") + tail)
-        .drop("__source", "last_key")
+        .drop("__source")
     )
 
 
+def copies(rows: DataFrame, mix: Mix) -> DataFrame:
+    """`rows` (with source and h) and the weight of their source and their number of copies."""
+    return _dealt(rows, mix).drop("last_key", "quota")
+
+
 def mix_documents(docs: DataFrame, **wishes) -> DataFrame:
-    """`docs` with every row as often as its source's weight asks for; columns stay as they are."""
+    """`docs` with every row as often as its source's weight asks for; columns stay as they are.
+
+    Rows are laid out in the order of the schedule, each partition a stretch of it.
+    """
     mix = plan(durable(items(docs)), **wishes)
     rows = docs.select(
         F.struct(*docs.columns).alias("__row"),
         F.coalesce("source", F.lit("")).alias("source"),
         F.xxhash64("doc_id", "source", "text").alias("h"),
     )
-    out = copies(rows, mix).filter("copies > 0")
-    return out.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("__row.*")
+    out = emit(rows, mix).select("__row", "block", "position", "h", "epoch")
+    order = ["block", "position", "h", "epoch"]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order).select("__row.*")
 
 
-def emit(rows: DataFrame, mix: Mix) -> DataFrame:
-    """One row for each copy of a document, with epoch, block and position.
+def scheduled(rows: DataFrame, mix: Mix) -> DataFrame:
+    """`copies` and `places`, the epoch, block and position of each copy; none if it has no copy.
 
     `position` runs from 0 to 1 over the whole schedule; sorting by it gives the training order.
     """
     unit = lambda key: F.shiftright(key, 11) / F.lit(float(1 << 53)) + 0.5
-    n_blocks = max(1, math.ceil(mix.budget / BLOCK_TOKENS))
-    out = copies(rows, mix).filter("copies > 0")
-    out = out.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    length = F.greatest(F.col("weight") * F.lit(mix.budget) / F.greatest("source_tokens", F.lit(1)), F.lit(1.0))
-    place = (F.col("epoch") + unit(F.xxhash64("h", "epoch"))) / length
-    out = out.withColumn("position", F.least(place, F.lit(1.0)))
-    return out.withColumn("block", F.least(F.floor(F.col("position") * n_blocks), F.lit(n_blocks - 1)))
+    used = mix.sources.agg(F.sum("quota")).first()[0] or 0
+    n_blocks = max(1, math.ceil(used / BLOCK_TOKENS))
+    # The tail ends at its last key even where few documents make that differ from its tokens' part.
+    given = F.col("quota") / F.greatest("source_tokens", F.lit(1))
+    length = F.greatest(given, F.col("epochs") + unit(F.col("last_key")), F.col("epochs").cast("double"))
+    out = _dealt(rows, mix).withColumn("__length", F.nullif(length, F.lit(0.0)))
+
+    def place(epoch):
+        at = (epoch + unit(F.xxhash64("h", epoch))) / F.col("__length")
+        return F.struct(
+            epoch.alias("epoch"),
+            F.least(F.floor(at * n_blocks), F.lit(n_blocks - 1)).cast("long").alias("block"),
+            at.alias("position"),
+        )
+
+    places = F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), place)
+    none = F.array().cast("array<struct<epoch: bigint, block: bigint, position: double>>")
+    return out.withColumn("places", F.when(F.col("copies") > 0, places).otherwise(none)).drop(
+        "__length", "last_key", "quota"
+    )
+
+
+def emit(rows: DataFrame, mix: Mix) -> DataFrame:
+    """One row for each copy of a document, with epoch, block and position as in `scheduled`."""
+    out = scheduled(rows, mix).withColumn("__place", F.explode("places"))
+    return out.select("*", "__place.*").drop("__place", "places")

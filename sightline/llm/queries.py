@@ -40,12 +40,15 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A budget of all tokens: large sources are cut, small ones repeated up to four times."""
+    """A budget of all tokens: large sources are cut, small ones repeated up to four times.
+
+    One row for each document, with the epoch, block and position of all its copies.
+    """
     rows = durable(mixing.items(table(spark, sf_dir, "documents")))
     budget = rows.agg(F.sum("n_tokens")).first()[0] or 0
     mix = mixing.plan(rows, target_entropy=0.95, repetition=4.0, budget=budget)
-    mixed = mixing.copies(rows, mix)
-    return mixed.select("doc_id", "source", "n_tokens", "weight", "copies")
+    mixed = mixing.scheduled(rows, mix)
+    return mixed.select("doc_id", "source", "n_tokens", "weight", "copies", "places")
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from sightline.llm import license_scan, mixing, secret_scan
 from sightline.llm.license_templates import TEMPLATES
 from tests.llm.helpers import ODD_TEXTS, documents
@@ -164,6 +165,43 @@ def test_emitted_schedule(spark):
     assert Counter(map(tuple, out)) == Counter(map(tuple, again))
 
 
+def test_every_block_has_each_source_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 2000)
+    docs = sized(spark, {"cut": [10] * 1500, "kept": [10] * 400, "rare": [10] * 100, "empty": [0] * 3})
+    rows = mixing.items(docs)
+    # The large source is cut to a third; at 1.5 the rare one ends at its limit, before its budget.
+    for repetition, budget in ((4.0, 20_000), (1.5, 20_000)):
+        mix = mixing.plan(rows, target_entropy=1.0, repetition=repetition, budget=budget)
+        out = mixing.emit(rows, mix).collect()
+        whole = Counter(r.source for r in out if r.source != "empty")
+        assert sum(r.source == "empty" for r in out) == 3
+        for half in (0, 1):
+            part = Counter(r.source for r in out if int(r.position * 2) == half)
+            assert all(abs(part[s] / n - 0.5) < 0.15 for s, n in whole.items())
+        blocks = Counter(r.block for r in out)
+        assert len(blocks) == math.ceil(sum(r.quota for r in mix.sources.collect()) / 2000)
+        assert min(blocks.values()) > 120 and max(blocks.values()) < 280
+        epochs = Counter((r.doc_id, r.epoch) for r in out)
+        assert set(epochs.values()) == {1}
+
+
+def test_mixed_documents_lie_in_the_order_of_the_schedule(spark):
+    docs = sized(spark, {"a": [10] * 300, "b": [10] * 150})
+    wishes = {"target_entropy": 1.0, "repetition": 2.0}
+    rows = mixing.items(docs)
+    order = sorted(mixing.emit(rows, mixing.plan(rows, **wishes)).collect(), key=lambda r: r.position)
+    out = [r.doc_id for r in mixing.mix_documents(docs, **wishes).collect()]
+    assert out == [r.doc_id for r in order]
+    assert not [1 for x, y in zip(out, out[1:]) if x == y]
+
+
+def test_mixing_query_gives_the_schedule(spark):
+    out = queries()["op3_mixing"](spark, "/root/testdata/sf0.001").collect()
+    assert all(len(r.places) == r.copies for r in out)
+    assert all([p.epoch for p in r.places] == list(range(r.copies)) or r.copies == 1 for r in out)
+    assert all(0 <= p.position <= 1 and p.block >= 0 for r in out for p in r.places)
+
+
 def test_mixing_keeps_rows_as_they_are(spark):
     docs = documents(spark, [*ODD_TEXTS, *ODD_TEXTS])
     docs = docs.unionByName(docs.limit(2)).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
