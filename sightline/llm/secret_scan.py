@@ -60,7 +60,8 @@ PLACEHOLDER = re.compile(
 )
 MIN_LITERAL = 6
 MIN_SCORE = 4.0
-MAX_HOPS = 4
+#: Further hops take nothing more from a literal's score; literals are followed through any number.
+COUNTED_HOPS = 4
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -149,8 +150,7 @@ def flow_spans(text: str) -> list[tuple[int, int, str]]:
         for kind, value, a, b in terms:
             if kind == "name" and value in holds:
                 for x, s, e, hops in holds[value]:
-                    if hops < MAX_HOPS:
-                        parts.setdefault((s, e), (x, s, e, hops + 1))
+                    parts.setdefault((s, e), (x, s, e, min(hops + 1, COUNTED_HOPS)))
             elif kind == "text" or len(value) >= 12 and any(c.isdigit() for c in value):
                 parts[a, b] = (value, a, b, 0)
         own = list(parts.values())

@@ -44,6 +44,13 @@ def test_configuration_syntax():
         assert not [x for x in kinds(harmless) if x[0] == "flow"]
 
 
+@pytest.mark.parametrize("hops", [4, 5, 40])
+def test_constants_are_followed_through_any_number_of_names(hops):
+    text = 'v0 = "Zx9-qqPl81mN"\n' + "".join(f"v{k + 1} = v{k}\n" for k in range(hops)) + f"api_secret_key = v{hops}"
+    assert ("flow", "Zx9-qqPl81mN") in kinds(text)
+    assert "Zx9" not in secret_scan.redact_text(text)
+
+
 def test_self_reference_stays_small():
     text = 'a = "Zx9-qqPl81mN"\n' + "a = a + a + a\n" * 200 + "password_key = a"
     assert len(secret_scan.scan_text(text)) < 10
