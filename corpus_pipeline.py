@@ -8,7 +8,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sightline.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
@@ -30,12 +29,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component, once. Rows without an id stay."""
-    linked = jaccard_join.link(docs, SHINGLE_WORDS, SIMILARITY)
-    first = linked.filter("component_id = doc_id").select("doc_id").distinct()
-    order = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("__n", F.row_number().over(order))
-    kept = kept.filter("__n = 1").select(*docs.columns)
+    """Keep the document with the smallest id of each component, once. Rows without an id stay.
+
+    Ids name the rows while they are unique. Where any is repeated, a hash over all columns does, so
+    unlike texts of one id stay apart, and rows equal in every column are one.
+    """
+    known = docs.filter(F.col("doc_id").isNotNull())
+    link = lambda rows: jaccard_join.link(rows, SHINGLE_WORDS, SIMILARITY)
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        first = link(known).filter("component_id = doc_id").select("doc_id")
+        kept = known.join(first, "doc_id", "left_semi").select(*docs.columns)
+    else:
+        keyed = known.withColumn("__key", F.xxhash64(*docs.columns))
+        linked = link(keyed.select(F.col("__key").alias("doc_id"), "text"))
+        components = linked.select(F.col("doc_id").alias("__key"), "component_id").distinct()
+        first = (
+            keyed.select("__key", "doc_id")
+            .distinct()
+            .join(components, "__key")
+            .groupBy("component_id")
+            .agg(F.min(F.struct("doc_id", "__key")).alias("__first"))
+            .select("__first.__key")
+        )
+        kept = keyed.join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 

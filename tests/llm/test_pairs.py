@@ -170,3 +170,24 @@ def test_stages_keep_clean_documents(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path))
     ids = packed.select(F.explode("doc_ids").alias("d")).distinct()
     assert {r.d for r in ids.collect()} == set(seen["mixing"])
+
+
+def test_unlike_texts_of_one_id_stay_in_the_pipeline(spark):
+    words = lambda c: " ".join(f"{c}{k}" for k in range(60))
+    rows = [
+        (1, words("a"), "s"),
+        (1, words("b"), "s"),
+        (1, words("b"), "s"),
+        (1, words("b"), "other"),
+        (2, words("b") + " end", "s"),
+        (3, words("c"), "s"),
+        (4, words("c"), "s"),
+        (None, words("c"), "s"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for ids, want in ((docs, [(1, "a0"), (1, "b0"), (3, "c0")]), (docs.filter("doc_id > 1"), [(2, "b0"), (3, "c0")])):
+        kept = corpus_pipeline.near_duplicates(spark, ids, "")
+        assert kept.schema == docs.schema
+        found = [(r.doc_id, r.text.split()[0]) for r in kept.collect()]
+        assert sorted(x for x in found if x[0]) == want
+        assert found.count((None, "c0")) == ids.filter("doc_id is null").count()
