@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from sightline.llm import (
     cap_filters,
     jaccard_join,
@@ -22,6 +21,7 @@ from sightline.llm import (
     secret_scan,
     token_files,
     toxicity,
+    whitening,
 )
 from sightline.llm.text import fold, table
 from sightline.sources.tables import durable, shared_folder
@@ -100,6 +100,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_of(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -111,7 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
-    "pipeline": corpus_pipeline.run,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {"op2_license_scan": license_scan.sql()}
