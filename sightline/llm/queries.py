@@ -19,6 +19,7 @@ from sightline.llm import (
     packing,
     quality_rules,
     secret_scan,
+    sharding,
     token_files,
     toxicity,
     whitening,
@@ -100,6 +101,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_of(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near equal bytes."""
+    placed = sharding.assign(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -115,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
+    "op12_kd_shards": op12_kd_shards,
     "op13_whitening": op13_whitening,
 }
 
