@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm import (
     cap_filters,
+    hard_negatives,
     jaccard_join,
     language_id,
     license_scan,
@@ -101,6 +102,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_of(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh id are wrong by one on purpose, so that labels and vectors disagree."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of near equal bytes."""
     placed = sharding.assign(table(spark, sf_dir, "documents"))
@@ -130,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_kd_shards": op12_kd_shards,
     "op13_whitening": op13_whitening,
 }
