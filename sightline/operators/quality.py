@@ -1,10 +1,17 @@
-"""Table checks. Each returns the failing rows; the report counts them without raising."""
+"""Table checks. Each returns the failing rows; the report counts them without raising.
+
+A table can be checked while it is written: `write_checked` counts the failing rows of its row checks as
+metrics observed by the write itself, so that no check reads the table again. Only repeated
+values need a pass of their own, over one column of what was written.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sightline.functions.columns import flag
@@ -64,29 +71,78 @@ def expression_is_true(df: DataFrame, col: str, expression: str) -> DataFrame:
     return df.filter(breaks_expression(col, expression))
 
 
+def _label(kind: str, model: str, col: str) -> list[Column]:
+    return [F.lit(kind).alias("check"), F.lit(model).alias("model"), F.lit(col).alias("column")]
+
+
+def _row_counts(checks: list[tuple]) -> list[Column]:
+    """Failures of each row check, as aggregates c0, c1, ..."""
+    return [
+        F.count_if(ROW_CHECKS[kind](col, *args)).alias(f"c{i}")
+        for i, (kind, col, *args) in enumerate(checks)
+    ]
+
+
+def _row_checks(checks: list[tuple]) -> list[tuple]:
+    return [c for c in checks if c[0] in ROW_CHECKS]
+
+
+def _repeats(df: DataFrame, model: str, checks: list[tuple]) -> list[DataFrame]:
+    return [
+        unique(df, col).agg(F.count("*").alias("failures")).select(*_label(kind, model, col), "failures")
+        for kind, col, *_ in checks
+        if kind == "unique"
+    ]
+
+
 def check_report(df: DataFrame, model: str, checks: list[tuple]) -> DataFrame:
     """Failures per check. All row checks of a model share one pass; `unique` needs its own.
 
     A check is (kind, column, *arguments).
     """
-    rows = [c for c in checks if c[0] in ROW_CHECKS]
-    label = lambda kind, col: [
-        F.lit(kind).alias("check"), F.lit(model).alias("model"), F.lit(col).alias("column")
-    ]
+    rows = _row_checks(checks)
     parts = []
     if rows:
-        counted = df.agg(
-            *[
-                F.count_if(ROW_CHECKS[kind](col, *args)).alias(f"c{i}")
-                for i, (kind, col, *args) in enumerate(rows)
-            ]
-        )
         entries = [
-            F.struct(*label(kind, col), F.col(f"c{i}").alias("failures"))
+            F.struct(*_label(kind, model, col), F.col(f"c{i}").alias("failures"))
             for i, (kind, col, *_) in enumerate(rows)
         ]
-        parts.append(counted.select(F.inline(F.array(*entries))))
-    for kind, col, *_ in [c for c in checks if c[0] == "unique"]:
-        repeated = unique(df, col).agg(F.count("*").alias("failures"))
-        parts.append(repeated.select(*label(kind, col), "failures"))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(df.agg(*_row_counts(rows)).select(F.inline(F.array(*entries))))
+    return reduce(DataFrame.unionByName, parts + _repeats(df, model, checks))
+
+
+@dataclass
+class Checked:
+    """A table as written, and the failures that were counted on the way."""
+
+    table: DataFrame
+    model: str
+    checks: list[tuple]
+    failures: list[int]
+
+    def report(self) -> DataFrame:
+        """Like `check_report`; the counted failures are few numbers that are there already."""
+        rows = [
+            (kind, self.model, col, n)
+            for (kind, col, *_), n in zip(_row_checks(self.checks), self.failures)
+        ]
+        schema = "check string, model string, column string, failures long"
+        parts = [self.table.sparkSession.createDataFrame(rows, schema)] if rows else []
+        return reduce(DataFrame.unionByName, parts + _repeats(self.table, self.model, self.checks))
+
+
+def write_checked(
+    df: DataFrame, model: str, checks: list[tuple], write: Callable[[DataFrame], DataFrame]
+) -> Checked:
+    """Write a table and count its failing rows in the same job.
+
+    `write` stores what it is given, all rows of it once, and returns the stored table. Failing rows are
+    written like others: checks report, they do not raise.
+    """
+    rows = _row_checks(checks)
+    if not rows:
+        return Checked(write(df), model, checks, [])
+    seen = Observation(model)
+    table = write(df.observe(seen, *_row_counts(rows)))
+    counted = seen.get
+    return Checked(table, model, checks, [counted[f"c{i}"] for i in range(len(rows))])

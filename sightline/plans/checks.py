@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from sightline.functions import fixed_values as V
-from sightline.operators.quality import check_report
+from sightline.operators.quality import Checked, check_report, write_checked
 
 # Fixed values: (kind, column, arguments) per model.
 KNOWN = "{} is not null"
@@ -187,3 +188,13 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
         DataFrame.unionByName,
         [check_report(df, model, CHECKS[model]) for model, df in tables.items()],
     )
+
+
+def store_checked(df: DataFrame, model: str, write: Callable[[DataFrame], DataFrame]) -> Checked:
+    """Write a model and count the failures of its declared checks in the same job."""
+    return write_checked(df, model, CHECKS[model], write)
+
+
+def stored_report(models: list[Checked]) -> DataFrame:
+    """All declared checks of models that were checked while they were written."""
+    return reduce(DataFrame.unionByName, [m.report() for m in models])

@@ -39,6 +39,35 @@ def test_report_counts_in_one_pass(rows):
     }
 
 
+def test_checks_are_counted_by_the_write(spark, rows):
+    checks = [
+        ("unique", "k"), ("not_null", "k"), ("accepted_values", "k", ["a"]), ("accepted_range", "n", 0, 50),
+        ("expression_is_true", "n", "> 1"), ("unique", "n"),
+    ]
+    for df in (rows, rows.limit(0)):
+        done = Q.write_checked(df, "m", checks, T.durable)
+        want = Q.check_report(df, "m", checks)
+        assert sorted(done.report().collect()) == sorted(want.collect())
+        assert done.report().dtypes == want.dtypes
+        assert sorted(done.table.collect(), key=str) == sorted(df.collect(), key=str)
+    only = Q.write_checked(rows, "m", [("unique", "k")], T.durable)
+    assert only.report().collect() == [("unique", "m", "k", 1)]
+
+
+def test_a_checked_write_reads_its_input_once(spark, rows):
+    asked = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    checks = [("not_null", "k"), ("accepted_range", "n", 0, 50)]
+    done = Q.write_checked(rows.mapInArrow(counted, rows.schema), "m", checks, T.durable)
+    assert done.failures == [1, 1] and done.report().count() == 2
+    assert asked.value == 4
+
+
 def test_declared_checks_are_complete(rows):
     kinds = [c[0] for checks in CHECKS.values() for c in checks]
     assert {k: kinds.count(k) for k in set(kinds)} == {
