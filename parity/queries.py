@@ -27,7 +27,7 @@ from sightline.plans import enrichment as E
 from sightline.plans import flights as FL
 from sightline.plans import incidents as I
 from sightline.plans import sightings as S
-from sightline.plans.checks import CHECKS, quality_report
+from sightline.plans.checks import CHECKS, store_checked, stored_report
 from sightline.sources.tables import (
     durable,
     read_source,
@@ -112,8 +112,17 @@ def crash_days(spark, d):
     return I.crashes_by_day(C.thin_crashes(crashes(spark, d)), thin_weather(spark, d))
 
 
+def traffic(spark, d):
+    return FL.traffic_profile(durable(FL.flight_cube(flights(spark, d))))
+
+
+def cube(spark, d):
+    """The cube as the table that a deployment stores; the raw tables are read for it once."""
+    return durable(S.sighting_cube(enriched(spark, d)))
+
+
 def dashboard(spark, d):
-    return S.dashboard_summary(enriched(spark, d), AS_OF)
+    return S.dashboard_summary(cube(spark, d), AS_OF)
 
 
 def stored_source(spark, d, name):
@@ -178,15 +187,15 @@ def _(spark, d):
 def _(spark, d):
     facts = durable(enriched(spark, d))
     linked = durable(E.proximity_correlation(facts, crashes(spark, d)))
-    cube = S.sighting_cube(facts)
+    cube = durable(S.sighting_cube(facts))
     return row_counts(
         {
-            "by_country_time": S.by_country_time(facts, cube),
+            "by_country_time": S.by_country_time(cube),
             "comprehensive_simple": I.comprehensive_simple(facts, linked, safety(spark, d), AS_OF),
-            "dashboard_summary": S.dashboard_summary(facts, AS_OF, cube),
+            "dashboard_summary": S.dashboard_summary(cube, AS_OF),
             "debunking_analysis": I.debunking_analysis(linked),
             "debunking_simple": I.debunking_simple(linked),
-            "top_locations": S.top_locations(facts, AS_OF, cube),
+            "top_locations": S.top_locations(cube, AS_OF),
         }
     )
 
@@ -210,7 +219,7 @@ def _(spark, d):
 @query("sample_top_locations", "select * from locations order by location_type, global_rank limit 100",
        "avg_duration_seconds median_duration_seconds center_latitude center_longitude pct_with_coordinates")
 def _(spark, d):
-    table = S.top_locations(enriched(spark, d), AS_OF)
+    table = S.top_locations(cube(spark, d), AS_OF)
     return sample_table(table, 100, [F.asc("location_type"), F.asc("global_rank")])
 
 
@@ -223,7 +232,7 @@ def _(spark, d):
 )
 def _(spark, d):
     keys = ["country", "region", "time_grain", "period_date"]
-    table = S.by_country_time(enriched(spark, d))
+    table = S.by_country_time(cube(spark, d))
     return sample_table(table, 100, [F.col(c).asc_nulls_last() for c in keys])
 
 
@@ -534,13 +543,13 @@ query(
     "select * from country_time",
     "avg_duration_seconds median_duration_seconds max_duration_seconds pct_with_coordinates "
     "pct_with_comments avg_latitude avg_longitude",
-)(lambda spark, d: S.by_country_time(enriched(spark, d)))
+)(lambda spark, d: S.by_country_time(cube(spark, d)))
 query(
     "top_locations",
     "select * from locations",
     "avg_duration_seconds median_duration_seconds center_latitude center_longitude "
     "pct_with_coordinates",
-)(lambda spark, d: S.top_locations(enriched(spark, d), AS_OF))
+)(lambda spark, d: S.top_locations(cube(spark, d), AS_OF))
 
 
 @query(
@@ -567,21 +576,21 @@ query(
     "traffic_patterns",
     "select * from traffic_report",
     "avg_duration complexity_indicator percentage_of_total_traffic",
-)(lambda spark, d: FL.traffic_patterns(FL.traffic_profile(flights(spark, d))))
+)(lambda spark, d: FL.traffic_patterns(durable(traffic(spark, d))))
 query("hourly_patterns", "select * from hours", "avg_duration_in_hour")(
-    lambda spark, d: FL.hourly_patterns(FL.traffic_profile(flights(spark, d)))
+    lambda spark, d: FL.hourly_patterns(traffic(spark, d))
 )
 query(
     "airline_patterns",
     "select * from airlines",
     "avg_airline_duration avg_airline_stops airline_nonstop_percentage",
-)(lambda spark, d: FL.airline_patterns(FL.traffic_profile(flights(spark, d))))
+)(lambda spark, d: FL.airline_patterns(traffic(spark, d)))
 query(
     "traffic_summary",
     "select * from traffic",
     "overall_avg_duration overall_avg_stops "
     + " ".join(f"{c.lower()}_percentage" for c in [*FL.DAYTIMES, *FL.HAULS]),
-)(lambda spark, d: FL.traffic_summary(FL.traffic_profile(flights(spark, d))))
+)(lambda spark, d: FL.traffic_summary(traffic(spark, d)))
 
 
 @query(
@@ -706,28 +715,34 @@ def _literal(v) -> str:
     " union all ".join(_check_sql(m, *check) for m in _STEPS_OF for check in CHECKS[m]),
 )
 def _(spark, d):
-    facts = enriched(spark, d)
-    cases = I.debunking_analysis(E.proximity_correlation(facts, crashes(spark, d)))
-    risks = safety(spark, d)
-    tables = {
-        "clean_weather": weather(spark, d),
-        "clean_crashes": crashes(spark, d),
-        "clean_flights": flights(spark, d),
-        "standardize_sightings": cleaned(spark, d),
-        "location_enriched": facts,
-        "flight_volume": volumes(spark, d),
-        "crashes_by_day": crash_days(spark, d),
-        "weather_safety": risks,
-        "sightings_with_weather": I.sightings_with_weather(
-            sightings(spark, d), thin_weather(spark, d)
-        ),
-        "by_country_time": S.by_country_time(facts),
-        "top_locations": S.top_locations(facts, AS_OF),
-        "dashboard_summary": S.dashboard_summary(facts, AS_OF),
-        "debunking_analysis": cases,
-        "comprehensive_summary": I.comprehensive_summary(cases, risks, facts),
-    }
-    return quality_report(tables)
+    # Every model is written once, from the stored models it is built on, and checked as it is written.
+    root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    models = []
+
+    def store(model, df):
+        checked = store_checked(df, model, lambda t: write_table(t, root, "models", model))
+        models.append(checked)
+        return checked.table
+
+    seen, hourly = durable(sightings(spark, d)), thin_weather(spark, d)
+    conditions = store("clean_weather", weather(spark, d))
+    fallen = store("clean_crashes", crashes(spark, d))
+    flown = store("clean_flights", flights(spark, d))
+    keyed = store("standardize_sightings", C.standardize_sightings(seen, id_col="sight_key"))
+    lookup = C.coordinate_lookup(raw(spark, d, "coordinates"))
+    facts = store("location_enriched", E.location_enriched(keyed, lookup))
+    store("flight_volume", E.flight_volume(flown))
+    store("crashes_by_day", I.crashes_by_day(C.thin_crashes(fallen), hourly))
+    risks = store("weather_safety", I.weather_safety(fallen, conditions))
+    store("sightings_with_weather", I.sightings_with_weather(seen, hourly))
+    counted = durable(S.sighting_cube(facts))
+    store("by_country_time", S.by_country_time(counted))
+    store("top_locations", S.top_locations(counted, AS_OF))
+    store("dashboard_summary", S.dashboard_summary(counted, AS_OF))
+    linked = durable(E.proximity_correlation(facts, fallen))
+    cases = store("debunking_analysis", I.debunking_analysis(linked))
+    store("comprehensive_summary", I.comprehensive_summary(cases, risks, facts))
+    return stored_report(models)
 
 
 # ---- metrics --------------------------------------------------------------------------------
@@ -946,5 +961,8 @@ def _(spark, d):
     )
     return M.metrics_by_entity(
         "region",
-        {"total_sightings": S.dashboard_summary(facts, AS_OF), "metric_value": summary},
+        {
+            "total_sightings": S.dashboard_summary(durable(S.sighting_cube(facts)), AS_OF),
+            "metric_value": summary,
+        },
     )

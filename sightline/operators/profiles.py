@@ -75,22 +75,21 @@ def value_range(value: Column) -> Column:
 def grouped_median(
     df: DataFrame, keys: list[str], value: str, weight: Column, out: str
 ) -> DataFrame:
-    """Exact interpolated median per group.
+    """Exact interpolated median per group, for groups of one grain or of many alike.
 
-    Values are counted per group, and counts are summed by ranges of values. The running sums of
-    the ranges tell in which of them the middle ranks fall, and only there are values put in
-    order. So no task holds or sorts all values of a group.
+    Weights are first summed by ranges of values, and the running sums tell which ranges hold the middle
+    ranks. A second pass takes the rows of these ranges alone, sums them by value and puts the
+    few values left in order. So values are shuffled once, whatever the number of grains, and no
+    task holds or sorts all values of a group.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.sum(weight).alias("__n"))
-        .withColumn("__part", value_range(F.col("__v")))
+    v = F.col(value).cast("double")
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *keys, v.alias("__v"), value_range(v).alias("__part"), weight.alias("__n")
     )
     by_key = W.partitionBy(*keys)
     before = by_key.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     parts = (
-        counts.groupBy(*keys, "__part")
+        rows.groupBy(*keys, "__part")
         .agg(F.sum("__n").alias("__size"))
         .withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0)))
         .withColumn("__total", F.sum("__size").over(by_key))
@@ -99,11 +98,14 @@ def grouped_median(
     inside = lambda rank: (
         (rank >= F.col("__before")) & (rank < F.col("__before") + F.col("__size"))
     )
-    picked = parts.filter(inside(low) | inside(high))
-    run = W.partitionBy(*keys, "__part").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
-    placed = null_safe_join(counts, picked, [*keys, "__part"], "inner").withColumn(
-        "__from", F.col("__before") + F.coalesce(F.sum("__n").over(run), F.lit(0))
+    picked = parts.filter(inside(low) | inside(high)).drop("__size")
+    counts = (
+        null_safe_join(rows, picked, [*keys, "__part"], "inner")
+        .groupBy(*keys, "__v")
+        .agg(*[F.first(c).alias(c) for c in ("__part", "__before", "__total")], F.sum("__n").alias("__n"))
     )
+    run = W.partitionBy(*keys, "__part").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
+    placed = counts.withColumn("__from", F.col("__before") + F.coalesce(F.sum("__n").over(run), F.lit(0)))
     holds = lambda rank: (
         (rank >= F.col("__from")) & (rank < F.col("__from") + F.col("__n"))
     )

@@ -9,6 +9,7 @@ from sightline.functions import aggregates as A
 from sightline.functions import columns as X
 from sightline.functions import fixed_values as V
 from sightline.operators.joins import with_share_of
+from sightline.operators.distinct import member_bitmaps, member_counts
 from sightline.operators.profiles import at_grains, union_tagged
 
 DAYTIMES = ["MORNING", "AFTERNOON", "EVENING", "NIGHT"]
@@ -76,7 +77,10 @@ def route_volume(volumes: DataFrame) -> DataFrame:
 
 
 def flight_cube(flights: DataFrame) -> DataFrame:
-    """Complete flights counted by hour, airline and route, with additive measures."""
+    """Complete flights counted by hour, airline and route, with additive measures.
+
+    The finest level of all traffic summaries; a deployment stores it once.
+    """
     duration, stops = F.col("flight_duration_hours"), F.col("number_of_stops")
     return (
         flights.filter("has_complete_route")
@@ -103,29 +107,23 @@ def flight_cube(flights: DataFrame) -> DataFrame:
     )
 
 
-def traffic_profile(flights: DataFrame) -> DataFrame:
-    """Measures by hour, by airline and overall, as roll-ups of one cube.
+def traffic_profile(cube: DataFrame) -> DataFrame:
+    """Measures by hour, by airline and overall, as roll-ups of the flight cube.
 
-    Distinct routes, cities and airlines are counted over the distinct keys of the cube.
+    The cube is rolled up to hours and airlines once; all grains come from that level, and so do the
+    distinct counts of routes, cities and airlines, as merged bitmaps.
     """
     n = F.col("n")
+    keys = ["departure_hour", "departure_time_of_day", "airline_name", "airline_region"]
     grains = {
-        "hour": {c: F.col(c) for c in ("departure_hour", "departure_time_of_day")},
-        "airline": {c: F.col(c) for c in ("airline_name", "airline_region")},
+        "hour": {c: F.col(c) for c in keys[:2]},
+        "airline": {c: F.col(c) for c in keys[2:]},
         "all": {},
     }
     where = {"hour": F.col("departure_hour").isNotNull()}
-    cube = flight_cube(flights)
     sums = ["n", "duration_sum", "duration_n", "stops_sum", "nonstop", *[h.lower() for h in HAULS]]
-    core = at_grains(
-        cube.groupBy("departure_hour", "departure_time_of_day", "airline_name", "airline_region").agg(
-            *[F.sum(c).alias(c) for c in sums]
-        ),
-        "grain",
-        grains,
-        where,
-    )
-    measures = core.groupBy("g").agg(
+    level = cube.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    measures = at_grains(level, "grain", grains, where).groupBy("g").agg(
         F.sum(n).alias("flights"),
         A.ratio(F.sum("duration_sum"), F.sum("duration_n")).alias("avg_duration"),
         A.ratio(F.sum("stops_sum"), F.sum(n)).alias("avg_stops"),
@@ -143,16 +141,10 @@ def traffic_profile(flights: DataFrame) -> DataFrame:
         "from_cities": "departure_city",
         "to_cities": "arrival_city",
     }
-    spread = at_grains(cube, "grain", grains, where)
-    # One row per group, kind of name and name; a name counts once however often it occurs.
-    listed = spread.select(
-        "g",
-        F.inline(
-            F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("name")) for k, c in names.items()])
-        ),
+    seen = member_bitmaps(cube, keys, {k: [F.col(c)] for k, c in names.items()})
+    counted = member_counts(
+        at_grains(seen, "grain", grains, where), ["g"], {k: F.col("kind") == k for k in names}
     )
-    listed = listed.filter(F.col("name").isNotNull()).distinct().groupBy("g")
-    counted = listed.agg(*[A.count_where(F.col("kind") == k).alias(k) for k in names])
     return (
         measures.join(counted, "g", "left").fillna(0, list(names)).select("g.*", *[
             c for c in [*measures.columns, *names] if c != "g"

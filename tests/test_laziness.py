@@ -32,15 +32,15 @@ def results(t):
     facts = E.location_enriched(t["keyed"], lookup)
     linked = E.proximity_correlation(facts, t["clean_crashes"])
     safety = I.weather_safety(t["clean_crashes"], t["clean_weather"])
-    profile = FL.traffic_profile(t["clean_flights"])
+    profile = FL.traffic_profile(FL.flight_cube(t["clean_flights"]))
     cube = S.sighting_cube(facts)
     return [
         linked,
         safety,
         E.weather_incident_analysis(t["clean_crashes"], t["clean_weather"]),
-        S.dashboard_summary(facts, AS_OF, cube),
-        S.by_country_time(facts, cube),
-        S.location_profiles(facts, cube, AS_OF),
+        S.dashboard_summary(cube, AS_OF),
+        S.by_country_time(cube),
+        S.top_locations(cube, AS_OF),
         I.suspicious_cases(linked),
         I.debunking_simple(linked),
         I.comprehensive_simple(facts, linked, safety, AS_OF),

@@ -151,7 +151,7 @@ def test_thresholds_of_weather_safety(spark, weather):
 
 
 def test_dashboard_medians_and_distinct_counts(enriched):
-    rows = S.dashboard_summary(enriched, "2001-08-01").filter("metric_type = 'by_country'").collect()
+    rows = S.dashboard_summary(S.sighting_cube(enriched), "2001-08-01").filter("metric_type = 'by_country'").collect()
     want = enriched.filter("has_valid_datetime").groupBy("country_standardized", "region").agg(
         F.round(F.median("duration_seconds_clean"), 2).alias("m"),
         F.count_distinct("city_clean").alias("c"),
@@ -165,14 +165,14 @@ def test_dashboard_medians_and_distinct_counts(enriched):
 
 
 def test_overall_row_without_sightings(enriched):
-    rows = S.dashboard_summary(enriched.limit(0), "2001-08-01").collect()
+    rows = S.dashboard_summary(S.sighting_cube(enriched.limit(0)), "2001-08-01").collect()
     assert [(r.metric_type, r.time_period, r.total_sightings, r.unique_shapes) for r in rows] == [
         ("overall", "all_time", 0, 0)
     ]
 
 
 def test_no_fact_row_is_multiplied(enriched, spark):
-    for table in (S.dashboard_summary(enriched, "2001-08-01"), S.top_locations(enriched, "2001-08-01")):
+    for table in (S.dashboard_summary(S.sighting_cube(enriched), "2001-08-01"), S.top_locations(S.sighting_cube(enriched), "2001-08-01")):
         plan = table._jdf.queryExecution().optimizedPlan().toString().splitlines()
         depth = lambda line: len(line) - len(line.lstrip(" :+-"))
         for i, line in enumerate(plan):
@@ -189,7 +189,7 @@ def test_no_fact_row_is_multiplied(enriched, spark):
 def test_recency_moves_with_the_date(enriched):
     cube = S.sighting_cube(enriched)
     def periods(day):
-        rows = S.dashboard_summary(enriched, day, cube).filter("metric_type = 'recent_trends'")
+        rows = S.dashboard_summary(cube, day).filter("metric_type = 'recent_trends'")
         return {r.time_period for r in rows.collect()}
     assert periods("2030-01-01") == {"older"}
     assert "last_year" in periods("2001-08-01")
@@ -207,7 +207,7 @@ def test_ranks_among_top_cities_equal_full_ranks(enriched, same):
         F.row_number().over(W.partitionBy("country").orderBy(*order)).alias("country_rank"),
         F.row_number().over(W.partitionBy("country", "state").orderBy(*order)).alias("state_rank"),
     ).filter("global_rank <= 10")
-    got = S.top_locations(enriched, "2001-08-01", cube, cities=10).filter("location_type = 'city'")
+    got = S.top_locations(cube, "2001-08-01", cities=10).filter("location_type = 'city'")
     same(got.select(*full.columns), full)
 
 
@@ -246,7 +246,7 @@ def test_route_categories(spark):
 
 def test_empty_flights_give_no_division_error(spark):
     flights = C.clean_flights(raw(spark, SF, "flights")).filter("1 = 0")
-    profile = FL.traffic_profile(flights)
+    profile = FL.traffic_profile(FL.flight_cube(flights))
     assert FL.traffic_patterns(profile).collect() == []
 
 
