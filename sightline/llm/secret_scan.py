@@ -11,8 +11,13 @@ Handled syntax: `name = "literal"`, `name := literal`, `name: literal`, `"name":
 quotes of either kind or none, and `a = b + "x"`. Prose with a colon is no assignment: bare
 literals count only if they look like a key, and the name has to be an identifier.
 
+Work is in proportion to the text: chains of terms are walked once, names share the literals they hold,
+and a literal is not scored again for what it was scored for before.
+
 Offsets are code points, ends exclusive. Null texts count as empty. Every text is scanned
-whole. Rows keep their order and number; null and repeated ids are scanned like any other.
+whole. Rows keep their order and number; null and repeated ids are scanned like any other. An empty
+table gives no rows. `scan` reads doc_id and text alone, so other columns clash with nothing; `redact`
+keeps all columns and changes text and n_chars.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -117,52 +123,149 @@ def _name_before(text: str, at: int) -> str:
 
 
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
-    """Name and terms (kind, text, start, end) of every assignment, in text order."""
-    at = 0
+    """Name and terms (kind, text, start, end) of every assignment, in text order.
+
+    A chain of terms is walked once. An operator inside a chain, like the second one of
+    `a=b&c=d`, takes only what follows up to the next operator or the end of its own term.
+    """
+    at, chained = 0, 0
+    ends: list[int] = []
     while m := OPERATOR.search(text, at):
         at = m.end()
         name = _name_before(text, m.start())
         if not name:
             continue
-        terms, pos = [], m.end()
+        terms, pos = [], at
+        if pos < chained:
+            own = ends[bisect_right(ends, pos)]
+            after = OPERATOR.search(text, pos, own)
+            own = after.start() if after else own
+            v = VALUE.match(text, pos, own)
+            if v and v[3] is not None:
+                kind = "name" if NAME.fullmatch(v[3]) else "bare"
+                terms.append((kind, v[3], v.start(3), v.end(3)))
+            if terms:
+                yield name, terms
+            continue
+        ends = []
         while v := VALUE.match(text, pos):
             quoted = v[3] is None
             group = v.lastindex
             kind = "text" if quoted else "name" if NAME.fullmatch(v[3]) else "bare"
             terms.append((kind, v[group], v.start(group), v.end(group)))
             pos = v.end()
+            ends.append(pos)
             more = PLUS.match(text, pos)
             if not more:
                 break
             pos = more.end()
         if terms:
             yield name, terms
+            chained = ends[-1]
             at = max(at, pos if terms[-1][0] == "text" else at)
 
 
+class Run:
+    """The literals a name holds, in order, with what is needed to score them as one text.
+
+    A literal is (value's score, its length, start, end, the version it came with). Every further
+    assignment of the run to a name is a new version, and a hop for the literals it has.
+    """
+
+    __slots__ = ("literals", "spans", "version", "shared", "chars", "size", "head", "tested")
+
+    def __init__(self):
+        self.literals: list[tuple[float, int, int, int, int]] = []
+        self.spans: set[tuple[int, int]] = set()
+        self.version, self.size, self.shared, self.head = 0, 0, False, ""
+        self.chars: dict[str, int] = {}
+        self.tested: dict[tuple[float, float, int], int] = {}
+
+    def add(self, value: str, a: int, b: int, hops: int = 0) -> None:
+        if (a, b) in self.spans:
+            return
+        self.spans.add((a, b))
+        self.literals.append((literal_score(value), len(value), a, b, self.version - hops))
+        for c in value:
+            self.chars[c] = self.chars.get(c, 0) + 1
+        self.size += len(value)
+        if len(self.head) < 64:
+            self.head += value
+
+    def score(self) -> float:
+        """`literal_score` of all literals put together."""
+        if len(self.head) == self.size:
+            return literal_score(self.head)
+        if len(self.chars) < 4 or re.match("(?i)your[_-]", self.head):
+            return -10.0
+        kinds = sum(any(re.match(p, c) for c in self.chars) for p in ("[a-z]", "[A-Z]", "[0-9]"))
+        bits = -sum(c / self.size * math.log2(c / self.size) for c in self.chars.values())
+        return (kinds - 1) * 0.5 + (1.0 if bits > 3.0 else 0.0) - ("\x20" in self.chars)
+
+    def sensitive(self, says: float, offset: int) -> Iterator[tuple[int, int]]:
+        """Spans that score enough under a name that says so much.
+
+        Literals that have all counted hops behind them score alike in every version, so they are
+        tested once for a score of the name and of the whole.
+        """
+        whole = self.score() - 1
+        start = settled = self.tested.get((says, whole, offset), 0)
+        for i in range(start, len(self.literals)):
+            own, size, a, b, version = self.literals[i]
+            hops = min(self.version - version + offset, COUNTED_HOPS)
+            if hops == COUNTED_HOPS and settled == i:
+                settled = i + 1
+            if says + max(own, whole) - 0.25 * hops >= MIN_SCORE and size >= MIN_LITERAL:
+                yield a, b
+        self.tested[says, whole, offset] = settled
+
+
+def _gathered(text: str, name: str, terms: list, holds: dict[str, tuple[Run, int]]) -> tuple[Run, int] | None:
+    """The run, and hops besides its own, that `name` holds after an assignment."""
+    literals = [
+        (value, a, b)
+        for kind, value, a, b in terms
+        if kind == "text"
+        or (kind != "name" or value not in holds)
+        and len(value) >= 12
+        and any(c.isdigit() for c in value)
+    ]
+    names = [value for kind, value, *_ in terms if kind == "name" and value in holds]
+    first = terms[0]
+    if names and all(n == names[0] for n in names) and first[0] == "name" and first[1] == names[0]:
+        run, offset = holds[names[0]]
+        if not literals and names[0] != name:
+            # Another name of the same run.
+            run.shared = True
+            return run, offset + 1
+        if names[0] == name and not run.shared:
+            run.version += 1
+            for value, a, b in literals:
+                run.add(value, a, b)
+            return run, offset
+    own, written = Run(), set(literals)
+    for kind, value, a, b in terms:
+        if kind == "name" and value in holds:
+            run, offset = holds[value]
+            for _, _, s, e, version in run.literals:
+                own.add(text[s:e], s, e, min(run.version - version + offset + 1, COUNTED_HOPS))
+        elif (value, a, b) in written:
+            own.add(value, a, b)
+    return (own, 0) if own.literals else None
+
+
 def flow_spans(text: str) -> list[tuple[int, int, str]]:
     if ":" not in text and "=" not in text:
         return []
-    holds: dict[str, list[tuple[str, int, int, int]]] = {}
+    holds: dict[str, tuple[Run, int]] = {}
     found: set[tuple[int, int]] = set()
     for name, terms in assignments(text):
-        parts = {}
-        for kind, value, a, b in terms:
-            if kind == "name" and value in holds:
-                for x, s, e, hops in holds[value]:
-                    parts.setdefault((s, e), (x, s, e, min(hops + 1, COUNTED_HOPS)))
-            elif kind == "text" or len(value) >= 12 and any(c.isdigit() for c in value):
-                parts[a, b] = (value, a, b, 0)
-        own = list(parts.values())
-        if own:
-            holds[name] = own
+        held = _gathered(text, name, terms, holds)
+        if held is not None:
+            holds[name] = held
             says = name_score(name)
             if says:
-                whole = "".join(x for x, *_ in own)
-                for value, a, b, hops in own:
-                    score = says + max(literal_score(value), literal_score(whole) - 1) - 0.25 * hops
-                    if score >= MIN_SCORE and len(value) >= MIN_LITERAL:
-                        found.add((a, b))
+                found.update(held[0].sensitive(says, held[1]))
     return [(a, b, "flow") for a, b in found]
 
 

@@ -1,7 +1,10 @@
 import math
+import time
 from collections import Counter, defaultdict
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -219,3 +222,80 @@ def test_mixing_keeps_rows_as_they_are(spark):
     assert mixing.mix_documents(docs.limit(0)).count() == 0
     one = docs.filter("source = 's0'")
     assert mixing.mix_documents(one).exceptAll(one).count() == 0
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "aa=bb&",
+        "aa=bb & ",
+        "a=",
+        'token = token + "aB3xQ9zLm2hh%d"\n',
+        '"aB3xQ9zLm2hh%d" + ',
+        "x = '\\'",
+        ":=",
+    ],
+)
+def test_scans_take_time_in_proportion_to_the_text(line):
+    def seconds(n):
+        text = "key = " + "".join(line % i if "%" in line else line for i in range(n // len(line)))
+        start = time.process_time()
+        secret_scan.scan_text(text)
+        return time.process_time() - start
+
+    seconds(10_000)
+    small, large = seconds(50_000), seconds(400_000)
+    assert large < 30 * max(small, 0.01)
+
+
+def test_every_literal_of_a_grown_value_is_found():
+    lines = "".join(f'token = token + "aB3xQ9zLm2hh{i}"\n' for i in range(300))
+    spans = secret_scan.flow_spans('token = "xK7_first_pArt"\n' + lines)
+    assert len(spans) == 301
+
+
+def plain_flow(text):
+    """Flow spans as defined: every name holds a list of (literal, start, end, hops)."""
+    holds, found = {}, set()
+    for name, terms in secret_scan.assignments(text):
+        parts = {}
+        for kind, value, a, b in terms:
+            if kind == "name" and value in holds:
+                for x, s, e, hops in holds[value]:
+                    parts.setdefault((s, e), (x, s, e, min(hops + 1, secret_scan.COUNTED_HOPS)))
+            elif kind == "text" or len(value) >= 12 and any(c.isdigit() for c in value):
+                parts[a, b] = (value, a, b, 0)
+        if parts:
+            holds[name] = list(parts.values())
+            says, whole = secret_scan.name_score(name), "".join(x for x, *_ in holds[name])
+            for x, s, e, hops in holds[name] if says else ():
+                score = max(secret_scan.literal_score(x), secret_scan.literal_score(whole) - 1)
+                if says + score - 0.25 * hops >= secret_scan.MIN_SCORE and len(x) >= secret_scan.MIN_LITERAL:
+                    found.add((s, e))
+    return found
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", "token", "api_key", "x.secret", "path"]),
+            st.lists(
+                st.sampled_from(['"aB3xQ9zLm2"', '"hunter22x"', "'Zx81_qwERTY99'", "AbC123def456ghi"]
+                                + ["a", "b", "token", '"plain"', "x.secret"]),
+                min_size=1, max_size=4,
+            ),
+        ),
+        max_size=12,
+    )
+)
+def test_flow_equals_the_plain_lists(lines):
+    text = "\n".join(f"{name} = {' + '.join(terms)}" for name, terms in lines)
+    assert {(a, b) for a, b, _ in secret_scan.flow_spans(text)} == plain_flow(text)
+
+
+def test_scan_of_no_rows_and_of_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, 'token = "aB3xQ9zLm2"', "s", 5)], "doc_id long, text string, spans string, start int")
+    assert secret_scan.scan(docs).first().spans[0].kind == "assign"
+    assert secret_scan.scan(docs.limit(0)).collect() == [] == secret_scan.digest(secret_scan.scan(docs.limit(0))).collect()
+    assert secret_scan.redact(docs).columns == docs.columns
