@@ -175,12 +175,12 @@ select c.*, l.coord_country as coord_lookup_country, l.coord_usa_state as coord_
              text(V.STATE_REGION_ELSE))}
     else {members('c.country_standardized', V.COUNTRY_REGIONS, text(V.COUNTRY_REGION_ELSE))}
     end as region
-from cleaned_keyed c
+from cleaned_numbered c
 left join (
   select country_standardized, state_clean, city_clean, count(*) as city_sighting_count,
     min(sighting_date) as city_first_sighting, max(sighting_date) as city_last_sighting,
     avg(latitude_clean) as city_avg_latitude, avg(longitude_clean) as city_avg_longitude
-  from cleaned_keyed where has_valid_datetime group by 1, 2, 3) s
+  from cleaned_numbered where has_valid_datetime group by 1, 2, 3) s
   using (country_standardized, state_clean, city_clean)
 left join lookup l
   on round(c.latitude_clean, 1) = l.lat_bucket and round(c.longitude_clean, 1) = l.lon_bucket"""

@@ -71,12 +71,18 @@ def sightings(spark, d):
 
 
 def cleaned(spark, d):
-    return C.standardize_sightings(durable(sightings(spark, d)), id_col="sight_key")
+    """With `sighting_id` from the global sequence; the numbering stores the rows once."""
+    return C.standardize_sightings(sightings(spark, d).drop("sight_key"))
 
 
-def enriched(spark, d):
+def keyed(spark, d):
+    return C.standardize_sightings(sightings(spark, d), id_col="sight_key")
+
+
+def enriched(spark, d, named=None):
     return E.location_enriched(
-        cleaned(spark, d), C.coordinate_lookup(raw(spark, d, "coordinates"))
+        cleaned(spark, d) if named is None else named,
+        C.coordinate_lookup(raw(spark, d, "coordinates")),
     )
 
 
@@ -100,8 +106,11 @@ def volumes(spark, d):
     return E.flight_volume(flights(spark, d))
 
 
-def correlation(spark, d):
-    return E.proximity_correlation(durable(enriched(spark, d)), crashes(spark, d))
+def correlation(spark, d, named=None):
+    """Needs no column of the enriched facts beyond those of the cleaned ones."""
+    return E.proximity_correlation(
+        cleaned(spark, d) if named is None else named, crashes(spark, d)
+    )
 
 
 def safety(spark, d):
@@ -185,8 +194,9 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    facts = durable(enriched(spark, d))
-    linked = durable(E.proximity_correlation(facts, crashes(spark, d)))
+    named = cleaned(spark, d)
+    facts = enriched(spark, d, named)
+    linked = durable(correlation(spark, d, named))
     cube = durable(S.sighting_cube(facts))
     return row_counts(
         {
@@ -242,7 +252,7 @@ def _(spark, d):
     "duration_seconds_clean latitude_clean longitude_clean",
 )
 def _(spark, d):
-    return sample_table(cleaned(spark, d), 100, [F.asc("sighting_datetime"), F.asc("sighting_id")])
+    return sample_table(keyed(spark, d), 100, [F.asc("sighting_datetime"), F.asc("sighting_id")])
 
 
 # ---- cleaning -------------------------------------------------------------------------------
@@ -305,14 +315,14 @@ def _(spark, d):
     "duration_seconds_clean latitude_clean longitude_clean",
 )
 def _(spark, d):
-    return C.standardize_sightings(durable(sightings(spark, d)).drop("sight_key"))
+    return cleaned(spark, d)
 
 
 query(
     "standardize_keyed_sightings",
     "select * from cleaned_keyed",
     "duration_seconds_clean latitude_clean longitude_clean",
-)(cleaned)
+)(keyed)
 query(
     "clean_weather",
     "select * from weather",
@@ -399,14 +409,34 @@ def _(spark, d):
 @query(
     "nearest_match",
     """select sighting_id, closest_crash_days, closest_crash_date, closest_crash_location,
-      closest_aircraft_type, closest_crash_fatalities from correlation_7
+      closest_aircraft_type, closest_crash_fatalities from correlation
       where closest_crash_days is not null""",
 )
 def _(spark, d):
-    facts = durable(enriched(spark, d))
-    linked = E.proximity_correlation(facts, crashes(spark, d), max_days=7)
-    return linked.filter(F.col("closest_crash_days").isNotNull()).select(
-        "sighting_id", *[c for c in linked.columns if c.startswith("closest_")]
+    events = crashes(spark, d).filter(F.col("crash_year") >= V.PROXIMITY_FIRST_YEAR)
+    dead = F.col("total_fatalities")
+    order = [F.col("crash_location"), F.col("aircraft_type"), dead.isNull(), dead]
+    pairs = J.asof_pairs(
+        enriched(spark, d).select("sighting_id", "country_standardized", "sighting_date"),
+        events.select("crash_date", "crash_country", "crash_location", "aircraft_type", dead),
+        "sighting_date",
+        "crash_date",
+        V.PROXIMITY_DAYS,
+        ("country_standardized", "crash_country"),
+        order,
+        V.CRASH_COUNTRY_WORDS,
+    )
+    details = ["crash_date", "crash_location", "aircraft_type", "total_fatalities"]
+    best = J.nearest_match(
+        pairs, "sighting_id", "days_difference", [F.col("crash_date")], ["days_difference", *details]
+    )
+    return best.select(
+        "sighting_id",
+        F.col("days_difference").cast("int").alias("closest_crash_days"),
+        F.col("crash_date").alias("closest_crash_date"),
+        F.col("crash_location").alias("closest_crash_location"),
+        F.col("aircraft_type").alias("closest_aircraft_type"),
+        F.col("total_fatalities").alias("closest_crash_fatalities"),
     )
 
 
@@ -598,19 +628,22 @@ query(
     "select * from comprehensive",
     "metric_value metric_percentage metric_aux",
 )
-def _(spark, d):
-    facts = durable(enriched(spark, d))
-    linked = durable(E.proximity_correlation(facts, crashes(spark, d)))
+def comprehensive(spark, d):
+    named = cleaned(spark, d)
+    linked = durable(correlation(spark, d, named))
     return I.comprehensive_summary(
-        durable(I.debunking_analysis(linked)), durable(safety(spark, d)), facts
+        durable(I.debunking_analysis(linked)),
+        durable(safety(spark, d)),
+        enriched(spark, d, named),
     )
 
 
 @query("comprehensive_simple", "select * from comprehensive_short")
-def _(spark, d):
-    facts = durable(enriched(spark, d))
-    linked = E.proximity_correlation(facts, crashes(spark, d))
-    return I.comprehensive_simple(facts, linked, safety(spark, d), AS_OF)
+def comprehensive_short(spark, d):
+    named = cleaned(spark, d)
+    return I.comprehensive_simple(
+        enriched(spark, d, named), correlation(spark, d, named), safety(spark, d), AS_OF
+    )
 
 
 # ---- checks ---------------------------------------------------------------------------------
@@ -673,7 +706,7 @@ _STEPS_OF = {
     "clean_weather": "weather",
     "clean_crashes": "crashes",
     "clean_flights": "flights",
-    "standardize_sightings": "cleaned_keyed",
+    "standardize_sightings": "cleaned_numbered",
     "location_enriched": "enriched",
     "flight_volume": "volumes",
     "crashes_by_day": "crash_days",
@@ -728,9 +761,9 @@ def _(spark, d):
     conditions = store("clean_weather", weather(spark, d))
     fallen = store("clean_crashes", crashes(spark, d))
     flown = store("clean_flights", flights(spark, d))
-    keyed = store("standardize_sightings", C.standardize_sightings(seen, id_col="sight_key"))
+    named = store("standardize_sightings", C.standardize_sightings(seen.drop("sight_key")))
     lookup = C.coordinate_lookup(raw(spark, d, "coordinates"))
-    facts = store("location_enriched", E.location_enriched(keyed, lookup))
+    facts = store("location_enriched", E.location_enriched(named, lookup))
     store("flight_volume", E.flight_volume(flown))
     store("crashes_by_day", I.crashes_by_day(C.thin_crashes(fallen), hourly))
     risks = store("weather_safety", I.weather_safety(fallen, conditions))
@@ -886,18 +919,6 @@ def _cases(spark, d):
     return I.debunking_analysis(durable(correlation(spark, d)))
 
 
-def _summary(spark, d):
-    facts = durable(enriched(spark, d))
-    cases = durable(I.debunking_analysis(E.proximity_correlation(facts, crashes(spark, d))))
-    return I.comprehensive_summary(cases, durable(safety(spark, d)), facts)
-
-
-def _short_summary(spark, d):
-    facts = durable(enriched(spark, d))
-    linked = E.proximity_correlation(facts, crashes(spark, d))
-    return I.comprehensive_simple(facts, linked, safety(spark, d), AS_OF)
-
-
 for _model, (_step, _by, _build, _doubles) in {
     "crashes_by_day": ("crash_days", ["weather_summary"], crash_days, "avg_temperature_celsius"),
     "dashboard_summary": (
@@ -919,11 +940,11 @@ for _model, (_step, _by, _build, _doubles) in {
     "comprehensive_summary": (
         "comprehensive",
         ["data_type"],
-        _summary,
+        comprehensive,
         "metric_value metric_percentage_avg insight_score_avg suspicious_ufo_cases_sum "
         "total_aviation_crashes_sum avg_weather_risk",
     ),
-    "comprehensive_simple": ("comprehensive_short", ["analysis_area_label"], _short_summary, ""),
+    "comprehensive_simple": ("comprehensive_short", ["analysis_area_label"], comprehensive_short, ""),
 }.items():
     query(f"metrics_of_{_model}", _measures_sql(_model, _step, _by, _doubles), _doubles)(
         lambda spark, d, model=_model, by=_by, build=_build: M.model_metrics(
@@ -954,15 +975,7 @@ def _(spark, d):
     "metric_value",
 )
 def _(spark, d):
-    facts = durable(enriched(spark, d))
-    linked = durable(E.proximity_correlation(facts, crashes(spark, d)))
-    summary = I.comprehensive_summary(
-        durable(I.debunking_analysis(linked)), durable(safety(spark, d)), facts
-    )
     return M.metrics_by_entity(
         "region",
-        {
-            "total_sightings": S.dashboard_summary(durable(S.sighting_cube(facts)), AS_OF),
-            "metric_value": summary,
-        },
+        {"total_sightings": dashboard(spark, d), "metric_value": comprehensive(spark, d)},
     )

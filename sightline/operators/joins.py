@@ -118,6 +118,90 @@ def day_counts(df: DataFrame, key: str, time: str, out: str) -> DataFrame:
     return df.groupBy(F.col(key), F.to_date(time).alias(time)).agg(F.count("*").alias(out))
 
 
+def asof_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    left_time: str,
+    right_time: str,
+    max_days: int,
+    on: tuple[str, str],
+    tiebreak: list[Column],
+    alt_matches: dict[str, str] | None = None,
+) -> DataFrame:
+    """Each left row with the last matching right row up to its day and the first from it on.
+
+    An as-of merge for row-level tables of any size: both sides are reduced to one row per (key, day),
+    on the right the first in `tiebreak`, and laid out in slots of `max_days`. A slot holds the days of
+    its own and, as boundary rows, the nearest day of either neighbour, so one pass over it in
+    order of the days gives both matches. What was found is joined back by key and day.
+    The result has the columns of both sides (those of the right must differ), `days_after` and
+    `days_difference`; left rows without a match within `max_days` are left out.
+    """
+    width = max(max_days, 1)
+    slot = lambda day: F.floor(day / width)
+    taken = F.struct(*right.columns)
+    events = (
+        right.filter(F.col(right_time).isNotNull())
+        .select(
+            F.explode(match_keys(F.col(on[1]), alt_matches or {})).alias("__key"),
+            X.day_number(F.col(right_time)).alias("__day"),
+            taken.alias("__right"),
+            F.struct(*tiebreak).alias("__order"),
+        )
+        .groupBy("__key", "__day")
+        .agg(F.min_by("__right", "__order").alias("__right"))
+        .withColumn("__slot", slot(F.col("__day")))
+    )
+    ends = events.groupBy("__key", "__slot").agg(
+        F.min_by(F.struct("__day", "__right"), "__day").alias("first"),
+        F.max_by(F.struct("__day", "__right"), "__day").alias("last"),
+    )
+    carried = ends.select(
+        "__key",
+        F.inline(
+            F.array(
+                F.struct((F.col("__slot") - 1).alias("__slot"), F.col("first").alias("e")),
+                F.struct((F.col("__slot") + 1).alias("__slot"), F.col("last").alias("e")),
+            )
+        ),
+    ).select("__key", "e.*", "__slot")
+    keyed = left.withColumns(
+        {"__key": F.col(on[0]), "__day": X.day_number(F.col(left_time))}
+    )
+    spots = keyed.select("__key", "__day").filter("__day is not null").distinct()
+    rows = (
+        events.unionByName(carried)
+        .withColumn("__event", F.col("__day"))
+        .unionByName(
+            spots.withColumns({"__slot": slot(F.col("__day")), "__spot": F.lit(True)}),
+            allowMissingColumns=True,
+        )
+    )
+    found = F.when(F.col("__event").isNotNull(), F.struct("__event", "__right"))
+    ahead = W.partitionBy("__key", "__slot").orderBy("__day").rangeBetween(W.unboundedPreceding, 0)
+    behind = W.partitionBy("__key", "__slot").orderBy(F.desc("__day")).rangeBetween(W.unboundedPreceding, 0)
+    sides = F.array_distinct(
+        F.array_compact(
+            F.array(
+                F.last(found, ignorenulls=True).over(ahead), F.last(found, ignorenulls=True).over(behind)
+            )
+        )
+    )
+    near = (
+        rows.withColumn("__sides", sides)
+        .filter("__spot")
+        .select("__key", "__day", "__sides")
+    )
+    pairs = spread_join(keyed, near, ["__key", "__day"])
+    return (
+        pairs.select(*left.columns, "__day", F.inline("__sides"))
+        .withColumn("days_after", F.col("__day") - F.col("__event"))
+        .withColumn("days_difference", F.abs("days_after"))
+        .filter(F.col("days_difference") <= max_days)
+        .select(*left.columns, "__right.*", "days_after", "days_difference")
+    )
+
+
 def nearest_match(
     pairs: DataFrame, id: str, distance: str, tiebreak: list[Column], take: list[str]
 ) -> DataFrame:

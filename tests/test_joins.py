@@ -301,3 +301,15 @@ def test_bucket_join(spark):
 def test_day_counts(spark):
     df = spark.createDataFrame([("a", datetime(2000, 1, 1, h)) for h in (1, 2)], "k string, t timestamp_ntz")
     assert J.day_counts(df, "k", "t", "n").collect() == [("a", date(2000, 1, 1), 2)]
+
+
+@pytest.mark.parametrize("days", [0, 3, 30])
+def test_asof_pairs_hold_the_nearest(left, right, same, days):
+    pairs = J.asof_pairs(left, right, "seen", "fell", days, ("country", "land"), [F.col("rid")], V.CRASH_COUNTRY_WORDS)
+    naive = naive_pairs(left, right, days, "inner")
+    best = lambda df: df.groupBy("id").agg(
+        F.min(F.struct("days_difference", "fell", "rid")).alias("b")
+    ).select("id", "b.*")
+    same(best(pairs), best(naive))
+    assert pairs.groupBy("id").count().filter("count > 2").isEmpty()
+    assert pairs.join(naive, ["id", "rid"], "left_anti").isEmpty()
