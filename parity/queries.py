@@ -28,10 +28,14 @@ from sightline.plans import flights as FL
 from sightline.plans import incidents as I
 from sightline.plans import sightings as S
 from sightline.plans.checks import CHECKS, store_checked, stored_report
+from sightline.plans.orders import ORDERS, ordered
 from sightline.sources.tables import (
+    commit_table,
+    date_spine,
     durable,
     read_source,
     read_table,
+    refresh_partitions,
     register_view,
     row_counts,
     sample_table,
@@ -160,22 +164,23 @@ for _source, _doubles in {
     )
 
 
+SPINE_START = "1900-01-01"
+
+
 @query(
     "date_spine",
-    "select u as sighting_date, count(k.sighting_date) as sightings from (select cast(unnest("
-    "generate_series((select min(cast(sighting_date as date)) from cleaned), "
-    "(select max(cast(sighting_date as date)) from cleaned), interval 1 day)) as date) as u) "
+    f"select u as sighting_date, count(k.sighting_date) as sightings from (select cast(unnest("
+    f"generate_series(date '{SPINE_START}', date '{AS_OF}', interval 1 day)) as date) as u) "
     "left join (select cast(sighting_date as date) as sighting_date from cleaned) k "
     "on k.sighting_date = u group by u",
 )
 def _(spark, d):
-    table = cleaned(spark, d)
-    days = table.groupBy(F.to_date("sighting_date").alias("sighting_date")).agg(
+    days = cleaned(spark, d).groupBy(F.to_date("sighting_date").alias("date_day")).agg(
         F.count("*").alias("n")
     )
-    spine = spine_over(table, "sighting_date").withColumnRenamed("date_day", "sighting_date")
-    return spine.join(days, "sighting_date", "left").select(
-        "sighting_date", F.coalesce("n", F.lit(0)).alias("sightings")
+    spine = date_spine(spark, SPINE_START, AS_OF)
+    return spine.join(days, "date_day", "left").select(
+        F.col("date_day").alias("sighting_date"), F.coalesce("n", F.lit(0)).alias("sightings")
     )
 
 
@@ -226,6 +231,37 @@ def _(spark, d):
     )
 
 
+@query(
+    "refreshed_partition",
+    """select crash_date, crash_year, crash_country, total_fatalities from crashes
+      where crash_year = 1995 or crash_year = 1996 and total_fatalities > 10""",
+)
+def _(spark, d):
+    # Only the partition that the new rows belong to is replaced; its neighbour keeps its files.
+    root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    columns = ["crash_date", "crash_country", "total_fatalities", "crash_year"]
+    fallen = crashes(spark, d).select(*columns)
+    write_table(fallen, root, "core", "crashes", partition_by=["crash_year"])
+    grave = fallen.filter("crash_year = 1996 and total_fatalities > 10")
+    table = refresh_partitions(grave, root, "core", "crashes", ["crash_year"])
+    return table.filter(F.col("crash_year").isin(1995, 1996))
+
+
+@query(
+    "committed_table",
+    """select crash_date, crash_country, total_fatalities * 2 as total_fatalities from crashes
+      where total_fatalities > 10""",
+)
+def _(spark, d):
+    # The second version is written from the first.
+    root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    columns = ["crash_date", "crash_country", "total_fatalities"]
+    first = commit_table(crashes(spark, d).select(*columns), root, "core", "crashes")
+    grave = first.filter("total_fatalities > 10")
+    doubled = grave.withColumn("total_fatalities", F.col("total_fatalities") * 2)
+    return commit_table(doubled, root, "core", "crashes")
+
+
 @query("sample_top_locations", "select * from locations order by location_type, global_rank limit 100",
        "avg_duration_seconds median_duration_seconds center_latitude center_longitude pct_with_coordinates")
 def _(spark, d):
@@ -979,3 +1015,50 @@ def _(spark, d):
         "region",
         {"total_sightings": dashboard(spark, d), "metric_value": comprehensive(spark, d)},
     )
+
+
+# ---- declared order -------------------------------------------------------------------------
+
+
+def _position_sql(model: str, columns: list[str], doubles: list[str]) -> str:
+    """Positions over values rounded like those of the query, nulls as the largest values."""
+    keys = [
+        f"{c[1:]} desc nulls first" if c.startswith("-") else f"{c} nulls last"
+        for c in [*ORDERS[model].split(), *columns]
+    ]
+    shown = ", ".join(f"round({c}, 6) as {c}" if c in doubles else c for c in columns)
+    step = {**_STEPS_OF, **_MORE_STEPS}[model]
+    return (
+        f"select *, row_number() over (order by {', '.join(keys)}) as position "
+        f"from (select {shown} from {step})"
+    )
+
+
+_MORE_STEPS = {
+    "debunking_simple": "debunking_short",
+    "route_volume": "route_report",
+    "traffic_patterns": "traffic_report",
+    "comprehensive_simple": "comprehensive_short",
+}
+for _model, _columns, _doubles in (
+    ("debunking_analysis", "analysis_type record_id event_date location suspicion_level explanation "
+     "days_to_incident correlation_score summary_metric", "days_to_incident summary_metric"),
+    ("debunking_simple", "sighting_id max_correlation_score closest_crash_days", ""),
+    ("route_volume", "departure_city arrival_city flight_route total_route_flights", ""),
+    ("traffic_patterns", "analysis_type category_name subcategory flight_count", ""),
+    ("comprehensive_summary", "data_type category subject metric_value narrative location_context "
+     "date_context metric_percentage metric_aux", "metric_value metric_percentage metric_aux"),
+    ("comprehensive_simple", "analysis_area metric_name metric_value", ""),
+    ("by_country_time", "country region time_grain period_date total_sightings", ""),
+    ("top_locations", "location_type global_rank country region state city", ""),
+    ("weather_safety", "analysis_type risk_score crash_count category subcategory location time_period",
+     "risk_score"),
+    ("dashboard_summary", "metric_type time_period total_sightings country region", ""),
+):
+    query(
+        f"ordered_{_model}", _position_sql(_model, _columns.split(), _doubles.split())
+    )(
+        lambda spark, d, model=_model, columns=_columns.split(): ordered(
+            model, QUERIES[model](spark, d).select(*columns)
+        )
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -84,6 +85,52 @@ def refresh_partitions(
     return read_table(df.sparkSession, root, layer, name)
 
 
+def commit_table(
+    df: DataFrame, root: str, layer: str, name: str, partition_by: list[str] | None = None
+) -> DataFrame:
+    """Replace a table by a new version, which readers see whole or not at all.
+
+    The rows are written beside the old ones. Only when they are complete, a row with the version's folder is
+    added to the table's log, and from then on `current_table` reads it. Frames that were read before
+    keep their files, so a table may be rewritten from itself; a write that fails leaves no trace
+    in the log. Of two writers of one version the one whose folder comes first by name counts.
+    Old versions are left to the folder's retention rules.
+    """
+    spark, base = df.sparkSession, f"{root}/{layer}/{name}"
+    last = _log(spark, base).agg(F.max("version")).first()[0] or 0
+    folder = f"v{last + 1:08d}-{uuid.uuid4().hex}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{base}/{folder}")
+    entry = spark.createDataFrame([(last + 1, folder)], LOG)
+    entry.coalesce(1).write.mode("append").parquet(f"{base}/log")
+    return current_table(spark, root, layer, name)
+
+
+LOG = "version long, folder string"
+
+
+def _log(spark: SparkSession, base: str) -> DataFrame:
+    try:
+        return spark.read.schema(LOG).parquet(f"{base}/log")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG)
+
+
+def current_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> DataFrame:
+    """The newest version of a table, or an older one that is still there."""
+    base = f"{root}/{layer}/{name}"
+    log = _log(spark, base)
+    wanted = log if version is None else log.filter(F.col("version") == version)
+    newest = wanted.orderBy(F.desc("version"), "folder").first()
+    if newest is None:
+        raise ValueError(f"{base} has no version{'' if version is None else f' {version}'}")
+    return spark.read.parquet(f"{base}/{newest['folder']}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of intermediate tables, which the driver and all executors share."""
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)

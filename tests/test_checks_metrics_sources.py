@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sightline.operators import metrics as M
 from sightline.operators import quality as Q
 from sightline.plans.checks import CHECKS, quality_report
+from sightline.plans.orders import ORDERS, declared_order, first_rows, store_ordered
 from sightline.sources import tables as T
 
 
@@ -216,3 +217,50 @@ def test_partition_filter_reaches_the_scan(spark, tmp_path):
     stored = T.write_table(df, str(tmp_path), "core", "t", partition_by=["day"])
     plan = stored.filter("day = 1 and v > 10").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThan(v,10)" in plan
+
+
+def test_a_committed_table_can_be_rewritten_from_itself(spark, rows, tmp_path):
+    root = str(tmp_path)
+    first = T.commit_table(rows, root, "core", "t")
+    second = T.commit_table(first.filter("n = 5"), root, "core", "t")
+    assert second.collect() == [("a", 5)] and first.count() == 4
+    assert T.current_table(spark, root, "core", "t").collect() == [("a", 5)]
+    assert T.current_table(spark, root, "core", "t", version=1).count() == 4
+    parts = T.commit_table(rows, root, "core", "t", partition_by=["k"])
+    assert sorted(parts.select("k", "n").collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def test_a_write_that_fails_leaves_the_old_version(spark, rows, tmp_path):
+    root = str(tmp_path)
+    T.commit_table(rows, root, "core", "t")
+    broken = rows.select("k", F.raise_error(F.lit("no")).cast("int").alias("n"))
+    with pytest.raises(Exception, match="no"):
+        T.commit_table(broken, root, "core", "t")
+    assert T.current_table(spark, root, "core", "t").count() == 4
+    assert T.commit_table(rows.limit(1), root, "core", "t").count() == 1
+    with pytest.raises(ValueError, match="no version"):
+        T.current_table(spark, root, "core", "other")
+
+
+def test_tables_in_their_declared_order(spark, tmp_path):
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 4)).alias("analysis_type"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("flight_count"),
+        F.col("id").alias("other"),
+    )
+    stored = store_ordered("traffic_patterns", df, str(tmp_path), "marts")
+    rows = stored.orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(1, 2001))
+    large = 1 << 60
+    key = lambda r: (
+        r.analysis_type is None, r.analysis_type or "",
+        -(large if r.flight_count is None else r.flight_count), r.other,
+    )
+    assert rows == sorted(rows, key=key)
+    first = first_rows(stored, 5)
+    assert first.collect() == rows[:5]
+    assert "LessThanOrEqual(position,5)" in first._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_ordered_model_has_its_order():
+    assert len(ORDERS) == 10 and all(declared_order(m) for m in ORDERS)
