@@ -19,6 +19,7 @@ from sightline.functions import columns as X
 
 
 SALTS = 8
+ROWS_PER_PIECE = 1_000_000
 SALTS_SETTING = "sightline.join.salts"
 
 
@@ -280,9 +281,51 @@ def nearby_events(
     )
 
 
-def day_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str) -> DataFrame:
-    """Left join on the calendar day; `right` should be reduced to its distinct day profiles."""
-    return left.join(right, F.col(left_date) == F.col(right_date), "left")
+def measured_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, rows_per_piece: int = ROWS_PER_PIECE
+) -> DataFrame:
+    """Left join in which heavy keys are cut into as many pieces as their rows ask for.
+
+    The left side's rows are counted per key first (combined map-side, the key column alone). A key with
+    more than `rows_per_piece` rows is dealt to that many pieces, by a hash of the left columns, and only
+    such a key's right rows are repeated. All other keys are joined as they are.
+    """
+    n = F.count("*")
+    heavy = (
+        left.groupBy(F.col(left_key).alias("__heavy"))
+        .agg(F.ceil(n / rows_per_piece).cast("int").alias("__pieces"))
+        .filter("__pieces > 1")
+    )
+    # At most one row for every `rows_per_piece` rows of the left side, hence a safe broadcast.
+    heavy = F.broadcast(heavy)
+    pieces = F.coalesce("__pieces", F.lit(1))
+    narrow = [c for c, kind in left.dtypes if kind not in ("string", "binary") and "<" not in kind]
+    dealt = (
+        left.join(heavy, F.col(left_key).eqNullSafe(F.col("__heavy")), "left")
+        .withColumn("__piece", F.pmod(F.xxhash64(*(narrow or left.columns)), pieces).cast("int"))
+        .drop("__heavy", "__pieces")
+    )
+    repeated = (
+        right.join(heavy, F.col(right_key) == F.col("__heavy"), "left")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        .drop("__heavy", "__pieces")
+    )
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("__piece") == F.col("__copy"))
+    return dealt.join(repeated, same, "left").drop("__piece", "__copy")
+
+
+def day_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_date: str,
+    right_date: str,
+    rows_per_piece: int = ROWS_PER_PIECE,
+) -> DataFrame:
+    """Left join on the calendar day; `right` should be reduced to its distinct day profiles.
+
+    Days of very many rows, and the rows without a day, are spread by their measured size.
+    """
+    return measured_join(left, right, left_date, right_date, rows_per_piece)
 
 
 def _side(df: DataFrame, key: Column, aggs: dict[str, tuple[str, Column]], rows: str) -> DataFrame:

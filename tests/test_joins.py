@@ -313,3 +313,34 @@ def test_asof_pairs_hold_the_nearest(left, right, same, days):
     same(best(pairs), best(naive))
     assert pairs.groupBy("id").count().filter("count > 2").isEmpty()
     assert pairs.join(naive, ["id", "rid"], "left_anti").isEmpty()
+
+
+@pytest.mark.parametrize("rows_per_piece", [1, 40, 10**6])
+def test_measured_join_is_a_left_join(left, right, same, rows_per_piece):
+    seen = left.withColumn("day", F.to_date("seen"))
+    days = right.filter("rid % 3 = 0").select(F.col("fell").alias("fallen"), "rid")
+    got = J.measured_join(seen, days, "day", "fallen", rows_per_piece)
+    same(got, seen.join(days, F.col("day") == F.col("fallen"), "left"))
+
+
+def test_a_day_with_half_of_the_rows_is_spread(spark):
+    days = F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 400).cast("int")
+    left = spark.range(40_000).select("id", F.date_add(F.lit("2000-01-01"), days).alias("day"))
+    right = spark.range(400).select(
+        F.date_add(F.lit("2000-01-01"), F.col("id").cast("int")).alias("on"), F.col("id").alias("w")
+    )
+    for key, value in {"adaptive.enabled": "false", "autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "16"}.items():
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        sizes = lambda df: sorted(
+            r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()
+        )
+        plain = sizes(left.join(right, F.col("day") == F.col("on"), "left"))
+        assert plain[-1] > 10 * plain[len(plain) // 2]
+        spread = sizes(J.day_join(left, right, "day", "on", rows_per_piece=200))
+        assert len(spread) == 16 and sum(spread) == 40_000
+        assert spread[-1] <= 3 * spread[8]
+    finally:
+        for key, value in {"adaptive.enabled": "true", "shuffle.partitions": "4"}.items():
+            spark.conf.set(f"spark.sql.{key}", value)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
