@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.llm.text import blocks
+from sightline.llm.text import blocks, small_batches
 from sightline.llm.tokens import BLOCK_CHARS, default_path, encoder, with_end
 from sightline.sources.tables import durable
 
@@ -83,6 +83,8 @@ def pack(pieces: Iterable[Piece], length: int = LENGTH, most: int = OPEN) -> Ite
         n = len(piece.ids)
         if not n:
             continue
+        # A window may stay open for long; a view would keep the ids of a whole block.
+        piece.ids = piece.ids.copy()
         at = bisect_left(room, (n, -1))
         if at == len(room) and len(room) >= most:
             free, k = room.pop(0)
@@ -139,11 +141,11 @@ def powers_of_two(window: Window) -> Iterator[Window]:
 
 
 def _documents(batches, path: str, end_id: int) -> Iterator[Piece]:
-    encode = encoder(path).encode
-    for block in blocks(batches, max_chars=BLOCK_CHARS):
-        ids, cuts = with_end(*encode(block.column("text")), end_id)
-        for doc_id, own in zip(block.column("doc_id").to_pylist(), np.split(ids, cuts[1:-1])):
-            yield Piece(doc_id, 0, own, len(own))
+    with encoder(path) as tokens:
+        for block in blocks(batches, max_chars=BLOCK_CHARS):
+            ids, cuts = with_end(*tokens.encode(block.column("text")), end_id)
+            for doc_id, own in zip(block.column("doc_id").to_pylist(), np.split(ids, cuts[1:-1])):
+                yield Piece(doc_id, 0, own, len(own))
 
 
 def _stored(batches) -> Iterator[Window]:
@@ -195,6 +197,7 @@ def pack_documents(
     the one before.
     """
     path = path or default_path()
+    small_batches(docs.sparkSession)
     packed = durable(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
             lambda b: _rows(pack(_documents(b, path, end_id), length, most), 0, length), SEQUENCES

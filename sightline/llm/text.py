@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_CHARS = 4_000_000
+ARROW_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,19 +41,39 @@ def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(1 << 30)) < limit)
 
 
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Send at most `rows` rows at once to Python, for operators on whole texts.
+
+    Spark bounds Arrow batches by rows and not by bytes; its 10,000 texts may be of any size together.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def blocks(
     batches: Iterable[pa.RecordBatch], column: str = "text", max_chars: int = MAX_CHARS
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose texts hold at most `max_chars` bytes, or one row."""
+    """The rows in blocks whose texts hold at most `max_chars` bytes, or one row."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
         while start < len(ends):
             before = ends[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(ends, before + max_chars, "right")))
-            yield batch.slice(start, end - start)
-            start = end
+            end = int(np.searchsorted(ends, before + max_chars - size, "right"))
+            if end > start or not held:
+                end = max(end, start + 1)
+                held.append(batch.slice(start, end - start))
+                size += int(ends[end - 1] - before)
+                start = end
+            if start < len(ends):
+                yield pa.concat_batches(held) if len(held) > 1 else held[0]
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held) if len(held) > 1 else held[0]
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -31,15 +31,30 @@ def test_word_by_word_equals_whole_text(plain):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=6))
 def test_any_text(plain, texts):
-    ids, cuts = tokens.encoder(tokens.default_path()).encode(pa.array(texts, pa.string()))
+    ids, cuts = tokens.Encoder(tokens.default_path()).encode(pa.array(texts, pa.string()))
     assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [plain(t, 0)[:-1] for t in texts]
 
 
+def test_memo_finds_what_it_was_given():
+    memo = tokens.Memo()
+    words = [f"w{i}" for i in range(1000)]
+    for start in range(0, 1000, 90):
+        part = words[start : start + 90]
+        counts = np.array([1 + int(w[1:]) % 3 for w in part])
+        memo.add(memo.keys(part), counts, np.repeat([int(w[1:]) for w in part], counts).astype(np.uint32))
+    starts, counts = memo.find(memo.keys([*words, "other"]))
+    assert starts[-1] == -1 and memo.size == 1000
+    for i in range(1000):
+        assert memo.ids[starts[i] : starts[i] + counts[i]].tolist() == [i] * (1 + i % 3)
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 1000])
 def test_bit_planes_round_trip(n):
     for top in (1, 2, 49_408, 1 << 32):
         ids = np.random.default_rng(n).integers(0, top, n).astype(np.uint32)
-        assert (token_files.unshuffle_bits(token_files.shuffle_bits(ids), n) == ids).all()
+        planes = token_files.open_planes(token_files.shuffle_bits(ids), n)
+        for a, b in ((0, n), (0, n // 2), (n // 3, n), (n // 3, n // 2), (n, n)):
+            assert (token_files.unshuffle_bits(planes, a, b) == ids[a:b]).all()
 
 
 def test_token_files_hold_all_ids_in_order(spark, plain, tmp_path):
