@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.llm.text import blocks, small_batches
+from sightline.llm.text import joined_blocks, small_batches
 from sightline.llm.tokens import BLOCK_CHARS, default_path, encoder, with_end
 from sightline.sources.tables import durable
 
@@ -142,7 +142,7 @@ def powers_of_two(window: Window) -> Iterator[Window]:
 
 def _documents(batches, path: str, end_id: int) -> Iterator[Piece]:
     with encoder(path) as tokens:
-        for block in blocks(batches, max_chars=BLOCK_CHARS):
+        for block in joined_blocks(batches, max_chars=BLOCK_CHARS):
             ids, cuts = with_end(*tokens.encode(block.column("text")), end_id)
             for doc_id, own in zip(block.column("doc_id").to_pylist(), np.split(ids, cuts[1:-1])):
                 yield Piece(doc_id, 0, own, len(own))

@@ -54,7 +54,22 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 def blocks(
     batches: Iterable[pa.RecordBatch], column: str = "text", max_chars: int = MAX_CHARS
 ) -> Iterator[pa.RecordBatch]:
-    """The rows in blocks whose texts hold at most `max_chars` bytes, or one row."""
+    """Slices of the batches whose texts hold at most `max_chars` bytes, or one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + max_chars, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def joined_blocks(
+    batches: Iterable[pa.RecordBatch], column: str = "text", max_chars: int = MAX_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Like `blocks`, with rows of neighbouring batches put together as far as they fit."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:

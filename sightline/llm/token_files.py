@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sightline.llm.text import blocks, small_batches
+from sightline.llm.text import joined_blocks, small_batches
 from sightline.llm.tokens import BLOCK_CHARS, default_path, encoder, with_end
 
 CHUNK_IDS = 1 << 17
@@ -69,7 +69,7 @@ def _tokenize(
     batches: Iterable[pa.RecordBatch], path: str, end_id: int
 ) -> Iterator[tuple[int | None, np.ndarray]]:
     with encoder(path) as tokens:
-        for block in blocks(batches, max_chars=BLOCK_CHARS):
+        for block in joined_blocks(batches, max_chars=BLOCK_CHARS):
             ids, cuts = with_end(*tokens.encode(block.column("text")), end_id)
             yield from zip(block.column("doc_id").to_pylist(), np.split(ids, cuts[1:-1]))
 
