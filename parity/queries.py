@@ -75,8 +75,8 @@ def sightings(spark, d):
 
 
 def cleaned(spark, d):
-    """With `sighting_id` from the global sequence; the numbering stores the rows once."""
-    return C.standardize_sightings(sightings(spark, d).drop("sight_key"))
+    """With `sighting_id` from the global sequence, from the stored first cleaning."""
+    return C.standardize_sightings(durable(sightings(spark, d)).drop("sight_key"))
 
 
 def keyed(spark, d):
