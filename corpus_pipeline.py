@@ -1,6 +1,10 @@
 """A training corpus in five stages: quality rules, near-duplicate join, secrets, mixing, packing.
 
 Every stage reads what the one before has written and works on all of it.
+
+Null and empty texts do not pass the quality rules. Rows with a null id stay, each by itself; rows equal in
+every column are one; unlike texts of one id stay apart. Texts of any length go through whole. Further columns are
+carried to the last stage, whatever their names, and an empty table gives no rows.
 """
 
 from __future__ import annotations
