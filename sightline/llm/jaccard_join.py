@@ -22,7 +22,8 @@ cluster's first class, then, only where a cluster has not come together, pairs o
 
 Null and wordless texts have an empty set and link with nothing. Rows with a null id get their
 set size and a null component. Repeated ids are one document: it has the links of all its texts.
-Repeated rows give repeated rows. Columns other than doc_id and text are ignored.
+Repeated rows give repeated rows. An empty table gives no rows; a very long text is one set like others.
+Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations

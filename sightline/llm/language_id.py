@@ -9,6 +9,7 @@ that does not cost more log-likelihood than it saves in penalty.
 Texts are processed whole, in blocks of bounded size. Null texts and texts without a letter give
 `und` with score 0. Rows with a null id are scored but never learned from. Repeated rows are
 scored alike, ties go to the first language in alphabetic order, and an empty table gives none.
+Columns other than doc_id, text and, for learning, lang are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ bigrams and more have anchor words of their own, which count only in units long
 
 Everything is built-in column expressions over the row, with no join and no shuffle. Null,
 empty and wordless texts match nothing, and neither do units of one word. Equal values are
-settled by licence name. Rows keep their number; ids may be null or repeated.
+settled by licence name. Rows keep their number; ids may be null or repeated. An empty table gives no
+rows. Very long texts are cut into units like others. Columns other than doc_id and text are left behind.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ whole documents allow, in hash order.
 
 Without a budget the smallest one is taken that gives every document at least once. A null
 source is the source named by the empty string, null texts have no tokens. Sources without
-tokens keep one copy. Rows repeated in every column share their place and fate.
+tokens keep one copy. Rows repeated in every column share their place and fate. Very long texts are
+whole items, and an empty table gives no rows. `mix_documents` keeps all columns as they are, whatever their names.
 All steps are built-in column functions; sources of any size are aggregated before they meet.
 """
 

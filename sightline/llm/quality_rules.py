@@ -10,7 +10,12 @@ conjunctions, emitted as one CASE expression.
 
 Null texts have no words. Rows without a label teach nothing; a document labelled twice counts
 with its lower label; with no labels at all the list is empty and only the base rules hold. Null
-ids get their row like all others. An empty table gives no rows.
+ids get their row like all others. An empty table gives no rows. Rules are tried in order, so a text
+that several cover counts for the first. Statistics are taken from whole texts of any length; columns other than
+doc_id and text are kept beside them and never read.
+
+The list is bounded by parameters: at most `MAX_RULES` rules of `MAX_CONDITIONS` conditions, with `CUTS` cuts for
+each statistic. Covering usually ends before, when no rule is precise enough on the pruning part.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ weights. Words are lower-cased and stripped of punctuation at their ends.
 Training is sequential by nature and runs in one task over a bounded sample (about `TRAIN_ROWS`
 labelled rows, all if fewer). Scoring covers every whole text. Null
 and empty texts get the score of the bias alone; rows without a usable label teach nothing; with
-no labelled rows at all every score is 0. Rows labelled twice count as toxic if any label is.
+no labelled rows at all every score is 0. Rows labelled twice count as toxic if any label is. Repeated
+rows are scored alike, a score at the threshold counts as toxic, and an empty table gives no rows. Columns
+other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
