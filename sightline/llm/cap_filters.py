@@ -12,7 +12,8 @@ and the cap height follows from it, so that a pair at the threshold is expected
 at 64 dimensions; the tests hold it below 1e-2), closer pairs less often.
 
 Equal vectors of a label are one class and are compared once. Buckets above `BLOCK` vectors are
-dealt out as pairs of blocks. A pair is counted in the lowest filter that both share. Vectors
+dealt out as pairs of blocks. A pair is counted in the lowest filter that both share, by the filters
+that were stored with the vectors, as short gaps; they are decoded once. Vectors
 that are null, empty, zero, or hold null or non-finite components, and vectors with a null label
 or id, link with nothing; vectors of different lengths are never compared. Rows repeated with
 the same id are one vector with copies. Other columns are ignored; an empty table gives no rows.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.llm.components import Union, components
+from sightline.llm.components import components
 from sightline.llm.runs import sorted_runs
 from sightline.sources.tables import durable
 
@@ -39,6 +40,8 @@ CODES = 8
 SHARED = 3.0
 BUCKET = 64.0
 BLOCK = 2048
+STRIP = 512
+TOP = (1 << 15) - 1
 SEED = 93
 
 
@@ -99,6 +102,28 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def packed(filters: np.ndarray) -> np.ndarray:
+    """Rising numbers as short gaps. A gap of `TOP` and more is spelled as some `TOP`s and the rest."""
+    gaps = np.diff(filters, prepend=0)
+    over = gaps // TOP
+    if not over.any():
+        return gaps.astype(np.int16)
+    out = np.full(len(gaps) + int(over.sum()), TOP, np.int16)
+    out[np.cumsum(over + 1) - 1] = gaps % TOP
+    return out
+
+
+def unpacked(gaps: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of every filter in a column of packed ones."""
+    flat = gaps.flatten().to_numpy().astype(np.int64)
+    lengths = gaps.value_lengths().to_numpy()
+    row = np.repeat(np.arange(len(gaps)), lengths)
+    run = np.concatenate([[0], np.cumsum(flat)])
+    numbers = run[1:] - run[np.cumsum(lengths) - lengths][row]
+    whole = flat != TOP
+    return row[whole], numbers[whole]
+
+
 def _decode(words: int, height: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,16 +134,51 @@ def _decode(words: int, height: float):
                     rows = part.slice(start, 1024)
                     x = matrix(rows.column("embedding"))
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    lists = pa.array(decode(x, words, height), pa.list_(pa.int64()))
+                    found = decode(x, words, height)
+                    lists = pa.array(found, pa.list_(pa.int64()))
+                    gaps = pa.array(map(packed, found), pa.list_(pa.int16()))
                     yield pa.RecordBatch.from_arrays(
-                        [*(rows.column(c) for c in ("vec_id", "label", "dim")), lists],
-                        ["vec_id", "label", "dim", "filters"],
+                        [*(rows.column(c) for c in ("vec_id", "label", "dim")), lists, gaps],
+                        ["vec_id", "label", "dim", "filters", "gaps"],
                     )
 
     return run
 
 
-def _verify(threshold: float, words: int, height: float):
+def shares_earlier(gaps: pa.ListArray, here: int) -> np.ndarray:
+    """Which rows share a filter below `here`, as a matrix."""
+    n = len(gaps)
+    row, lists = unpacked(gaps)
+    row, lists = row[lists < here], lists[lists < here]
+    _, at, count = np.unique(lists, return_inverse=True, return_counts=True)
+    several = count > 1
+    column = np.cumsum(several) - 1
+    kept = several[at]
+    # Row by filter; only filters that occur twice, in strips, so that memory stays bounded.
+    row, column = row[kept], column[at[kept]]
+    out = np.zeros((n, n), bool)
+    for start in range(0, int(several.sum()), STRIP):
+        inside = (column >= start) & (column < start + STRIP)
+        some = np.unique(row[inside])
+        has = np.zeros((len(some), STRIP), np.float32)
+        has[np.searchsorted(some, row[inside]), column[inside] - start] = 1
+        out[np.ix_(some, some)] |= has @ has.T > 0
+    return out
+
+
+def roots(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the smallest row it reaches."""
+    low = np.arange(len(near))
+    linked = near | np.eye(len(near), dtype=bool)
+    while True:
+        new = np.where(linked, low[None, :], len(low)).min(axis=1)
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def _verify(threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_runs(batches, ["label", "dim", "filter", "low", "high"]):
             if len(rows) < 2:
@@ -126,28 +186,23 @@ def _verify(threshold: float, words: int, height: float):
             x = matrix(rows.column("embedding"))
             norm = np.linalg.norm(x, axis=1)
             low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
-            block = rows.column("block").to_numpy()
-            ids, copies = rows.column("vec_id").to_numpy(), rows.column("copies").to_numpy()
-            here = rows.column("filter")[0].as_py()
             near = (x @ x.T) / np.outer(norm, norm) >= threshold
+            # The same product either way, whatever order the sums were taken in.
+            near = np.triu(near, 1)
             if low != high:
+                block = rows.column("block").to_numpy()
                 near &= block[:, None] != block[None, :]
-            i, j = np.nonzero(np.triu(near, 1))
-            if not len(i):
+            near |= near.T
+            touched = np.flatnonzero(near.any(axis=1))
+            if not len(touched):
                 continue
-            linked = np.zeros(len(ids), np.int64)
-            union = Union(len(ids))
-            touched = np.unique(np.concatenate([i, j]))
-            lists = decode(x[touched] / norm[touched, None], words, height)
-            sets = dict(zip(touched.tolist(), map(frozenset, lists)))
-            for p, q in zip(i.tolist(), j.tolist()):
-                union.join(p, q)
-                if min(sets[p] & sets[q]) == here:
-                    linked[p] += copies[q]
-                    linked[q] += copies[p]
-            root = [int(ids[union.find(k)]) for k in touched.tolist()]
+            near = near[np.ix_(touched, touched)]
+            some = rows.take(pa.array(touched))
+            counted = near & ~shares_earlier(some.column("gaps"), rows.column("filter")[0].as_py())
+            linked = counted @ some.column("copies").to_numpy()
+            ids = some.column("vec_id").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[touched]), pa.array(linked[touched]), pa.array(root, pa.int64())],
+                [pa.array(ids), pa.array(linked.astype(np.int64)), pa.array(ids[roots(near)])],
                 ["vec_id", "linked", "root"],
             )
 
@@ -183,7 +238,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     decoded = durable(
         classes.select("vec_id", "label", "dim", "embedding").mapInArrow(
             _decode(words, height),
-            f"vec_id long, label {kind['label']}, dim long, filters array<long>",
+            f"vec_id long, label {kind['label']}, dim long, filters array<long>, gaps array<smallint>",
         )
     )
     at = ["label", "dim", "filter"]
@@ -198,11 +253,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
         .withColumn("high", F.greatest("block", "other"))
         .drop("count", "blocks", "other")
         .join(classes.select("vec_id", "copies", "embedding"), "vec_id")
+        .join(decoded.select("vec_id", "gaps"), "vec_id")
     )
     found = durable(
         dealt.repartition(*at, "low", "high")
         .sortWithinPartitions(*at, "low", "high", "vec_id")
-        .mapInArrow(_verify(threshold, words, height), "vec_id long, linked long, root long")
+        .mapInArrow(_verify(threshold), "vec_id long, linked long, root long")
     )
     links = found.groupBy("vec_id").agg(F.sum("linked").alias("linked"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
