@@ -49,3 +49,10 @@ def test_first_and_top(spark):
     }
     plan = R.first_per_group(df, ["k"], order)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_repeated_rows_are_not_shuffled(spark, same):
+    df = spark.range(40).withColumn("n", F.col("id") % 4 * 3 + 1)
+    got = R.repeat_rows(df, "n", per_task=4)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    same(got, df.select("id", F.explode(F.sequence(F.lit(1), "n"))).select("id"))

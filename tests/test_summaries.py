@@ -271,3 +271,12 @@ def test_days_without_weather_and_without_date(spark):
     assert {r.event_date: r.crash_events for r in daily} == {
         date(2000, 1, 1): 2, date(2000, 1, 2): 1, None: 1,
     }
+
+
+def test_incidents_group_crashes_once_and_spell_pairs_out_in_place(crashes, weather):
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString().splitlines()
+    compact = text(E.weather_incident_analysis(crashes, weather, expand=False))
+    assert sum("HashAggregate(keys=[crash_date" in x and "crash_summary" in x for x in compact) == 2
+    spelled = text(E.weather_incident_analysis(crashes, weather))
+    above = spelled[: next(i for i, x in enumerate(spelled) if "Join" in x)]
+    assert not any("Exchange" in x for x in above)
