@@ -264,3 +264,24 @@ def test_tables_in_their_declared_order(spark, tmp_path):
 
 def test_every_ordered_model_has_its_order():
     assert len(ORDERS) == 10 and all(declared_order(m) for m in ORDERS)
+
+
+def test_date_spine_counts_sightings_beyond_the_declared_days(spark, tmp_path):
+    from datetime import date, datetime
+
+    from parity.queries import QUERIES
+
+    tables = {
+        "orders": ([(1, 1, datetime(1850, 3, 1), 9.0), (2, 1, datetime(2050, 3, 1), 9.0)],
+                   "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double"),
+        "customer": ([(1, "c", 1, 10.0, "S")],
+                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "nation": ([(1, "N")], "n_nationkey int, n_name string"),
+        "supplier": ([(1, "s", 1, 10.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = QUERIES["date_spine"](spark, str(tmp_path))
+    seen = {r[0]: r[1] for r in got.filter("sightings > 0").collect()}
+    assert seen == {date(1850, 3, 1): 1, date(2050, 3, 1): 1}
+    assert got.count() == (date(2050, 3, 1) - date(1850, 3, 1)).days + 1
