@@ -114,3 +114,10 @@ def test_places_without_a_country_count_within_it_only(spark):
         {k: F.col("kind") == k for k in ("country", "state", "city", "state_name", "city_name")},
     )
     assert {r[0]: tuple(r)[1:] for r in got.collect()} == {None: (0, 0, 0, 2, 1), "A": (1, 1, 1, 1, 1)}
+
+
+def test_bitmaps_of_small_groups_are_small(spark):
+    rows = spark.range(500).select((F.col("id") % 100).cast("string").alias("k"), F.col("id").cast("string").alias("x"))
+    bitmaps = D.member_bitmaps(rows, ["k"], {"x": [F.col("x")]})
+    assert dict(bitmaps.dtypes)["bitmap"] == "bigint"
+    assert nodes(bitmaps, "SortAggregate") == 0
