@@ -195,3 +195,17 @@ def test_all_coordinate_matches_fan_out(spark):
     assert C.clean_sightings(raw, places).count() == 1
     both = C.clean_sightings(raw, places, dedupe_coordinates=False)
     assert sorted(r.country for r in both.collect()) == ["A", "B"]
+
+
+def test_coordinate_rows_that_look_the_same_meet_sightings_once(spark, same):
+    from sightline.sources.schemas import SCHEMAS
+
+    texts = dict(datetime="1/2/2000 3:04", city="a", latitude="1.0", longitude="2.0")
+    fields = [f.split()[0] for f in SCHEMAS["sightings"].replace("\n", " ").split(",")]
+    sightings = spark.createDataFrame([tuple(texts.get(f, "") for f in fields)], SCHEMAS["sightings"])
+    places = spark.createDataFrame([("X", 1.0, 2.0, s) for s in "pppq"],
+                                   "country string, latitude double, longitude double, usa_state string")
+    found = C.clean_sightings(sightings, places, dedupe_coordinates=False, expand=False)
+    assert sorted((r.state, r.coordinate_rows) for r in found.collect()) == [("p", 3), ("q", 1)]
+    spelled = C.clean_sightings(sightings, places, dedupe_coordinates=False)
+    assert sorted(r.state for r in spelled.collect()) == list("pppq")

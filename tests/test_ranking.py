@@ -56,3 +56,17 @@ def test_repeated_rows_are_not_shuffled(spark, same):
     got = R.repeat_rows(df, "n", per_task=4)
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     same(got, df.select("id", F.explode(F.sequence(F.lit(1), "n"))).select("id"))
+
+
+def test_stored_rows_are_shuffled_for_the_sort_alone(spark, same):
+    hot = spark.range(900).select(F.lit("hot").alias("k"), F.lit(None).cast("int").alias("v"))
+    cold = spark.range(300).select((F.col("id") % 50).cast("string").alias("k"), F.lit(1).alias("v"))
+    df = hot.unionByName(cold)
+    plain = R._hot_copies_apart(df, "copy")
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    same(plain.drop("copy"), df)
+    apart = R._hot_copies_apart(df, "copy", per_task=100)
+    same(apart.drop("copy"), df)
+    assert apart.filter("k = 'hot'").select("copy").distinct().count() == 900
+    got = R.global_row_number(df, [F.asc("k")], "n", stored=True)
+    assert [r.n for r in got.select("n").orderBy("n").collect()] == list(range(1, 1201))
