@@ -344,3 +344,20 @@ def test_a_day_with_half_of_the_rows_is_spread(spark):
         for key, value in {"adaptive.enabled": "true", "shuffle.partitions": "4"}.items():
             spark.conf.set(f"spark.sql.{key}", value)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_by_distance_never_pairs_days(spark, same):
+    spots = spark.createDataFrame([("a", d, 2) for d in (0, 5, 40)] + [("b", 5, 1)], "k string, day int, n long")
+    events = spark.createDataFrame(
+        [("a", m, d, c) for m, d, c in (("x", 1, 3), ("x", 30, 1), ("y", 5, 4))], "k string, m string, day int, c long"
+    )
+    reaches = {"near": 1, "far": 30}
+    got = J.pairs_by_distance(spots, events, ["k", "m"], reaches)
+    gap = F.abs(F.col("s.day") - F.col("e.day"))
+    naive = (
+        spots.alias("s").join(events.alias("e"), F.col("s.k") == F.col("e.k"))
+        .filter(gap <= 30)
+        .groupBy("e.k", "m", F.when(gap <= 1, "near").otherwise("far").alias("reach"))
+        .agg(F.sum(F.col("n") * F.col("c")).alias("pairs"))
+    )
+    same(got, naive)
