@@ -226,6 +226,22 @@ def test_shares(spark):
     ]
 
 
+def test_shares_read_their_table_once(spark):
+    rows = [("a", "x", 1), ("a", "x", 3), ("a", None, 4), (None, "x", 5), (None, "y", 7), ("b", None, 0)]
+    df = spark.createDataFrame(rows, "f string, t string, n int").repartition(3)
+    out = J.with_share_of(df, ["f"], "n", "t", "total", "partners", "share")
+    # Rows without a key have no group, and no partner is none; duplicates count once.
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted(
+        [
+            ("a", "x", 1, 8, 1, 12.5), ("a", "x", 3, 8, 1, 37.5), ("a", None, 4, 8, 1, 50.0),
+            (None, "x", 5, None, None, None), (None, "y", 7, None, None, None), ("b", None, 0, 0, 0, None),
+        ],
+        key=str,
+    )
+    assert dict(out.dtypes)["partners"] == "bigint"
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 @pytest.fixture
 def small_skew(spark):
     """Limits low enough for a test table to count as skewed, and no broadcasts."""
