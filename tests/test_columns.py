@@ -76,3 +76,21 @@ def test_aggregates(spark):
         A.pct(F.sum("w"), F.lit(0), zero=0),
     ).first()
     assert tuple(row) == (1, 1.0, None, 8.0 / 5, 25.0, None, 0.0)
+
+
+def test_guarded_casts_read_what_try_cast_reads(spark):
+    texts = [
+        "3", " 3 ", "+3", "-1", "3.0", "1e3", "", "zero", "One", "3abc", "a3", "2147483648", "+", "12:3", None,
+        "1e11", "12345678901", " 788918400000 ", "1e11d", "unknown", "1/2/2000 24:10",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    rows = df.select(
+        t.try_cast("int"), X.try_whole(t), t.try_cast("double"),
+        F.when(t.rlike(X.MAYBE_NUMBER), t.try_cast("double")),
+    ).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows]
+    assert [r[2] for r in rows] == [r[3] for r in rows]
+    # Words, of which raw tables are full, are not cast at all.
+    assert not df.filter(t.isin("zero", "One", "")).filter(t.rlike(X.MAYBE_WHOLE)).count()
+    assert not df.filter(t.isin("unknown", "1/2/2000 24:10")).filter(t.rlike(X.MAYBE_NUMBER)).count()

@@ -2,11 +2,14 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sightline.functions import fixed_values as V
+from sightline.operators import cleaning as C
 from sightline.operators import joins as J
 from sightline.operators.ranking import first_per_group
 from sightline.plans import enrichment as E
+from sightline.sources.schemas import SCHEMAS
 
 
 def plan(df):
@@ -242,6 +245,28 @@ def test_shares_read_their_table_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
 
 
+def test_crash_dates_are_read_from_text_once(spark):
+    schema = StructType.fromDDL(SCHEMAS["crashes"])
+    raw = spark.createDataFrame([tuple(None for _ in schema)], schema)
+    days = E.crash_days(C.clean_crashes(raw.repartition(2)))
+    # No filter by the date, which would be pushed below the point where it is read.
+    assert days._jdf.queryExecution().optimizedPlan().toString().count("d-MMM-yyyy") == 1
+
+
+def test_crashes_out_of_range_are_listed_nowhere(spark):
+    rows = [(date(1946, 12, 31), 1946), (date(1947, 1, 1), 1947), (None, None), (date(1990, 5, 5), None)]
+    df = spark.createDataFrame(rows, "crash_date date, crash_year int").withColumns(
+        {
+            "crash_country": F.lit("Reno USA"), "crash_location": F.lit("a"),
+            "aircraft_type": F.lit("b"), "total_fatalities": F.lit(3),
+        }
+    )
+    found = E.crash_days(df).select("key", "near.crash_date", "crashes").collect()
+    assert sorted(tuple(r) for r in found) == [
+        ("Reno USA", date(1947, 1, 1), 1), ("UNITED STATES", date(1947, 1, 1), 1),
+    ]
+
+
 @pytest.fixture
 def small_skew(spark):
     """Limits low enough for a test table to count as skewed, and no broadcasts."""
