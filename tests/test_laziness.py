@@ -2,6 +2,7 @@
 
 import pytest
 
+from parity import queries as parity_queries
 from parity.oracle import AS_OF
 from parity.standins import raw
 from sightline.operators import cleaning as C
@@ -59,3 +60,17 @@ def test_no_job_before_a_result_is_asked_for(spark, inputs):
     finally:
         spark.sparkContext._jsc.sc().clearJobGroup()
     assert list(started) == []
+
+
+@pytest.mark.parametrize("name", ["comprehensive_summary", "comprehensive_simple", "metric_entity_join_models"])
+def test_combined_reports_read_each_raw_table_once(spark, monkeypatch, name):
+    read = []
+
+    def counted(spark, d, table):
+        read.append(table)
+        return raw(spark, d, table)
+
+    monkeypatch.setattr(parity_queries, "raw", counted)
+    parity_queries.QUERIES[name](spark, SF)
+    assert read.count("crashes") == 1
+    assert read.count("sightings") == 1
