@@ -209,3 +209,22 @@ def test_coordinate_rows_that_look_the_same_meet_sightings_once(spark, same):
     assert sorted((r.state, r.coordinate_rows) for r in found.collect()) == [("p", 3), ("q", 1)]
     spelled = C.clean_sightings(sightings, places, dedupe_coordinates=False)
     assert sorted(r.state for r in spelled.collect()) == list("pppq")
+
+
+def test_hours_of_flights_are_read_from_text_once(spark):
+    flights = spark.createDataFrame([], SCHEMAS["flights"])
+    label = C.clean_flights(flights).select("departure_time_of_day")
+    plan = label._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[^A-Za-z]*[0-9]") == 1
+    assert "regexp_extract" not in C.clean_flights(flights)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clock_times(spark):
+    times = {
+        "7:05": "07:05:00", " 07:05 ": "07:05:00", "7:05:09": "07:05:09", "23:59:59": "23:59:59", "0:00\n": "00:00:00",
+        "07:05:09\n": "07:05:09", "24:00": None, "7:5": None, "7:60": None, "7": None, "Morning": None, "": None,
+        "7:05:": None, "7:05:9": None, "x7:05": None, None: None,
+    }
+    df = spark.createDataFrame([(t,) for t in times], "t string")
+    got = {r.t: r.clock for r in df.select("t", C.clock_time(F.col("t")).alias("clock")).collect()}
+    assert got == times

@@ -74,3 +74,14 @@ def test_combined_reports_read_each_raw_table_once(spark, monkeypatch, name):
     parity_queries.QUERIES[name](spark, SF)
     assert read.count("crashes") == 1
     assert read.count("sightings") == 1
+
+
+def test_raw_rows_are_dealt_out_before_they_grow_wide(spark, tmp_path):
+    events = spark.range(20).selectExpr(
+        "id as event_id", "timestamp_ntz '2020-01-01 00:00:00' as ts", "'click' as event_type", "1.5e0 as value"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    weather = raw(spark, str(tmp_path), "weather")
+    plan = weather._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Day of") < plan.index("RepartitionByExpression")
+    assert weather.count() == 20

@@ -70,3 +70,18 @@ def test_stored_rows_are_shuffled_for_the_sort_alone(spark, same):
     assert apart.filter("k = 'hot'").select("copy").distinct().count() == 900
     got = R.global_row_number(df, [F.asc("k")], "n", stored=True)
     assert [r.n for r in got.select("n").orderBy("n").collect()] == list(range(1, 1201))
+
+
+def test_copies_are_looked_for_in_few_columns_first(spark, same, monkeypatch):
+    df = spark.range(300).select((F.col("id") % 3).alias("a"), F.col("id").alias("b"))
+    asked = []
+    monkeypatch.setattr(R, "durable", lambda t: asked.append(t) or t)
+    cold = R._hot_copies_apart(df, "copy", per_task=100, alike=["a"])
+    assert not asked
+    same(cold, df.withColumn("copy", F.lit(0).cast("long")))
+    # Many rows that agree there may still be no copies, or some of them may be.
+    hot = df.unionByName(spark.range(250).select(F.lit(1).cast("long").alias("a"), F.lit(7).cast("long").alias("b")))
+    apart = R._hot_copies_apart(hot, "copy", per_task=100, alike=["a"])
+    assert asked
+    same(apart, R._hot_copies_apart(hot, "copy", per_task=100))
+    assert apart.filter("b = 7").select("copy").distinct().count() == 251
