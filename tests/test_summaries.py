@@ -280,3 +280,23 @@ def test_incidents_group_crashes_once_and_spell_pairs_out_in_place(crashes, weat
     spelled = text(E.weather_incident_analysis(crashes, weather))
     above = spelled[: next(i for i, x in enumerate(spelled) if "Join" in x)]
     assert not any("Exchange" in x for x in above)
+
+
+@pytest.mark.parametrize("expand", [True, False])
+def test_incidents_are_written_out_by_many_tasks(spark, expand):
+    """Run-time plans see few bytes here and would leave one or two tasks for all pairs."""
+    day = F.date_add(F.lit("2000-01-01"), (F.col("id") % 200).cast("int"))
+    number = ("crash_year", "crash_month", "people_aboard", "total_fatalities", "survivors", "fatality_rate_percent")
+    crashes = spark.range(2000).select(
+        day.alias("crash_date"),
+        *[(F.lit(2000) if c in number else F.col("id").cast("string")).alias(c) for c in E.CRASH_BLOCK[1:]],
+    )
+    weather = spark.range(2000).select(
+        day.alias("observation_date"), F.col("id").cast("string").alias("weather_summary"),
+        *[F.lit("x").alias(c) for c in ("weather_category", "visibility_category", "wind_category", "precipitation_type")],
+        F.lit(1.0).alias("cloud_cover_percent"),
+    )
+    rows = E.weather_incident_analysis(crashes, weather, expand=expand)
+    tasks = rows.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 20_000
+    assert len(tasks) > 2 * spark.sparkContext.defaultParallelism
