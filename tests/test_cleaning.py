@@ -211,6 +211,20 @@ def test_coordinate_rows_that_look_the_same_meet_sightings_once(spark, same):
     assert sorted(r.state for r in spelled.collect()) == list("pppq")
 
 
+def test_all_coordinate_matches_are_written_apart_from_the_cleaning(spark):
+    """Fused with the cleaning step the copies would be made by code too long to be compiled."""
+    sightings = table(spark, "sightings", *[{"latitude": "10.0", "longitude": "20.0"}] * 400)
+    places = table(spark, "coordinates", *[{"latitude": 10.0, "longitude": 20.0, "country": "X"}] * 3)
+    found = C.clean_sightings(sightings, places, dedupe_coordinates=False)
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    join = next(i for i, x in enumerate(plan) if "Join" in x)
+    cleaning = next(i for i, x in enumerate(plan) if "RLIKE" in x)
+    assert any("Exchange RoundRobinPartitioning" in x for x in plan[join:cleaning])
+    tasks = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 1200
+    assert len(tasks) > 2 * spark.sparkContext.defaultParallelism
+
+
 def test_hours_of_flights_are_read_from_text_once(spark):
     flights = spark.createDataFrame([], SCHEMAS["flights"])
     label = C.clean_flights(flights).select("departure_time_of_day")
